@@ -1,0 +1,91 @@
+"""Left joins that stay balanced when one key holds a large share of the rows.
+
+Spark splits a skewed join partition by itself only where both inputs come
+straight from a shuffle.  A right side that was just aggregated by the join key
+does not, and that is the shape of every per-order and per-product summary.
+Such a side has at most one row per key, which is what these joins use: the few
+rows that belong to heavy keys are broadcast, and the matching left rows take
+spread-out shuffle keys.  The heavy keys are only a routing hint, so results are
+exact whatever the sketch reports.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# At most this many keys are ever routed: it bounds what is broadcast.
+MAX_HOT_KEYS = 100
+# A key is heavy from this share of the rows on (at most 100 keys can reach it).
+HOT_SHARE = 0.01
+# Distinct keys the sketch follows in each task; bounds its memory.
+TRACKED_KEYS = 10_000
+
+_ROUTE, _HOT = "_route", "_hot"
+
+
+def heavy_keys(df: DataFrame, key: str) -> DataFrame:
+    """Up to ``MAX_HOT_KEYS`` keys with a share of at least ``HOT_SHARE``.
+
+    A frequent-items sketch per task, merged once: no shuffle by key.
+    """
+    top = F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {TRACKED_KEYS})")
+    return (
+        df.where(F.col(key).isNotNull())
+        .agg(F.count(F.lit(1)).alias("n"), top.alias("top"))
+        .select("n", F.explode("top").alias("t"))
+        .where(F.col("t.count") >= F.col("n") * HOT_SHARE)
+        .select(F.col("t.item").alias(key))
+    )
+
+
+def left_join_unique(
+    left: DataFrame,
+    key: str,
+    rights: Sequence[DataFrame],
+    hot: DataFrame,
+    spread: Column,
+) -> DataFrame:
+    """Left-join ``rights``, each with at most one row per ``key``.
+
+    The result has the left columns plus one struct column ``_0``, ``_1``, ... per
+    right side, NULL where nothing matched.  ``hot`` lists the keys to route
+    (see :func:`heavy_keys`); ``spread`` gives rows of one key different values
+    and must not change when a task is run again.
+    """
+    names = [f"_{i}" for i in range(len(rights))]
+    hot_rows = hot
+    for i, right in enumerate(rights):
+        # An inner join with the few distinct keys, not a semi join: that would be
+        # pushed below the aggregate and compute the summary a second time.
+        packed = right.select(
+            F.col(key).alias(f"_k{i}"), F.struct(*right.columns).alias(f"_h{i}")
+        )
+        picked = packed.join(
+            F.broadcast(hot.withColumnRenamed(key, "_q")), F.col(f"_k{i}") == F.col("_q")
+        ).drop("_q")
+        hot_rows = hot_rows.join(
+            F.broadcast(picked), F.col(key) == F.col(f"_k{i}"), "left"
+        ).drop(f"_k{i}")
+    hot_rows = hot_rows.withColumnRenamed(key, _HOT)
+
+    routed = left.join(
+        F.broadcast(hot_rows), F.col(key) == F.col(_HOT), "left"
+    ).withColumn(
+        _ROUTE,
+        F.when(F.col(_HOT).isNull(), F.col(key)).otherwise(
+            F.concat(F.lit("~"), spread.cast("string"))
+        ),
+    )
+    joined = routed
+    for i, right in enumerate(rights):
+        packed = right.select(
+            F.col(key).alias(f"_k{i}"), F.struct(*right.columns).alias(f"_{i}")
+        )
+        joined = joined.join(packed, F.col(_ROUTE) == F.col(f"_k{i}"), "left")
+    return joined.select(
+        *left.columns,
+        *[F.coalesce(f"_h{i}", n).alias(n) for i, n in enumerate(names)],
+    )
