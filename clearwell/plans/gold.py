@@ -11,6 +11,7 @@ Parquet write costs a range shuffle that no reader benefits from.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -186,6 +187,55 @@ def orders_with_customers(orders: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
+def items_with_products(order_items: DataFrame, products: DataFrame) -> DataFrame:
+    """Every order line with its product's labels and ``product_found``."""
+    known = products.select(
+        F.col("product_id").alias("_product"), "product_name", "category", "brand"
+    )
+    return order_items.join(
+        known, F.col("product_id") == F.col("_product"), "left"
+    ).select(
+        *order_items.columns,
+        *S.product_labels(),
+        F.col("_product").isNotNull().alias("product_found"),
+    )
+
+
+# relation -> (facts, their key, dimension, its key)
+RELATIONS = {
+    "orders_customers": ("orders", "customer_id", "customers", "customer_id"),
+    "order_items_orders": ("order_items", "order_id", "orders", "order_id"),
+    "order_items_products": ("order_items", "product_id", "products", "product_id"),
+    "reviews_products": ("reviews", "productId", "products", "product_id"),
+    "reviews_orders": ("reviews", "orderId", "orders", "order_id"),
+    "delivery_events_orders": ("delivery_events", "order_id", "orders", "order_id"),
+}
+
+
+def orphan_counts(silver: Silver) -> DataFrame:
+    """``relation, n_rows, n_unmatched``: fact rows whose key has no counterpart."""
+    parts = []
+    for relation, (facts, fact_key, dimension, key) in RELATIONS.items():
+        per_key = (
+            silver[facts]
+            .groupBy(F.col(fact_key).alias("_key"))
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+        known = silver[dimension].select(F.col(key).alias("_known")).distinct()
+        matched = per_key.join(known, F.col("_key") == F.col("_known"), "left")
+        parts.append(
+            matched.agg(
+                F.sum("n").alias("n_rows"),
+                F.sum(F.when(F.col("_known").isNull(), F.col("n"))).alias("missed"),
+            ).select(
+                F.lit(relation).alias("relation"),
+                _or_zero(F.col("n_rows")).alias("n_rows"),
+                _or_zero(F.col("missed")).alias("n_unmatched"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def customer_order_360(silver: Silver) -> DataFrame:
     """One row per order: customer, amounts, products, reviews and delivery.
 
