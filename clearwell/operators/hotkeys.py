@@ -23,6 +23,9 @@ HOT_SHARE = 0.01
 # Distinct keys the sketch follows in each task; bounds its memory.
 TRACKED_KEYS = 10_000
 
+# Tables below this estimated size are joined without looking for heavy keys.
+ROUTE_FROM_BYTES = 1 << 30
+
 _ROUTE, _HOT = "_route", "_hot"
 
 
@@ -41,51 +44,77 @@ def heavy_keys(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan, from file sizes and column widths."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _packed(right: DataFrame, key: str, i: int, name: str) -> DataFrame:
+    return right.select(
+        F.col(key).alias(f"_k{i}"), F.struct(*right.columns).alias(name)
+    )
+
+
 def left_join_unique(
     left: DataFrame,
     key: str,
     rights: Sequence[DataFrame],
-    hot: DataFrame,
+    facts: DataFrame,
     spread: Column,
+    route_from: int = ROUTE_FROM_BYTES,
 ) -> DataFrame:
     """Left-join ``rights``, each with at most one row per ``key``.
 
     The result has the left columns plus one struct column ``_0``, ``_1``, ... per
-    right side, NULL where nothing matched.  ``hot`` lists the keys to route
-    (see :func:`heavy_keys`); ``spread`` gives rows of one key different values
-    and must not change when a task is run again.
+    right side, NULL where nothing matched.  Heavy keys are looked for in
+    ``facts``, the table whose rows ``left`` carries, unless it is smaller than
+    ``route_from`` bytes, where a third of it is one ordinary task.  ``spread``
+    gives rows of one key different values and must not change when a task is run
+    again.
     """
-    names = [f"_{i}" for i in range(len(rights))]
-    hot_rows = hot
+    match_on = key
+    if estimated_bytes(facts) >= route_from:
+        left = _route(left, key, rights, heavy_keys(facts, key), spread)
+        match_on = _ROUTE
+    columns = [c for c in left.columns if c != _ROUTE and not c.startswith(_HOT)]
+    joined = left
     for i, right in enumerate(rights):
-        # An inner join with the few distinct keys, not a semi join: that would be
-        # pushed below the aggregate and compute the summary a second time.
-        packed = right.select(
-            F.col(key).alias(f"_k{i}"), F.struct(*right.columns).alias(f"_h{i}")
+        joined = joined.join(
+            _packed(right, key, i, f"_{i}"), F.col(match_on) == F.col(f"_k{i}"), "left"
         )
-        picked = packed.join(
-            F.broadcast(hot.withColumnRenamed(key, "_q")), F.col(f"_k{i}") == F.col("_q")
-        ).drop("_q")
-        hot_rows = hot_rows.join(
-            F.broadcast(picked), F.col(key) == F.col(f"_k{i}"), "left"
-        ).drop(f"_k{i}")
-    hot_rows = hot_rows.withColumnRenamed(key, _HOT)
-
-    routed = left.join(
-        F.broadcast(hot_rows), F.col(key) == F.col(_HOT), "left"
-    ).withColumn(
-        _ROUTE,
-        F.when(F.col(_HOT).isNull(), F.col(key)).otherwise(
-            F.concat(F.lit("~"), spread.cast("string"))
-        ),
+    return joined.select(
+        *columns,
+        *[
+            F.coalesce(f"{_HOT}{i}", f"_{i}").alias(f"_{i}")
+            if match_on == _ROUTE
+            else F.col(f"_{i}")
+            for i in range(len(rights))
+        ],
     )
-    joined = routed
+
+
+def _route(
+    left: DataFrame,
+    key: str,
+    rights: Sequence[DataFrame],
+    hot: DataFrame,
+    spread: Column,
+) -> DataFrame:
+    """Match heavy keys by broadcast; give their rows spread-out shuffle keys."""
+    rows = hot.select(F.col(key).alias(_HOT))
     for i, right in enumerate(rights):
-        packed = right.select(
-            F.col(key).alias(f"_k{i}"), F.struct(*right.columns).alias(f"_{i}")
+        # An inner join with the few distinct keys, not a semi join: that would be
+        # pushed below the aggregate and compute the summary a second time.
+        picked = (
+            _packed(right, key, i, f"{_HOT}{i}")
+            .join(F.broadcast(hot), F.col(f"_k{i}") == F.col(key))
+            .drop(key)
         )
-        joined = joined.join(packed, F.col(_ROUTE) == F.col(f"_k{i}"), "left")
-    return joined.select(
-        *left.columns,
-        *[F.coalesce(f"_h{i}", n).alias(n) for i, n in enumerate(names)],
+        rows = rows.join(F.broadcast(picked), F.col(_HOT) == F.col(f"_k{i}"), "left")
+        rows = rows.drop(f"_k{i}")
+    # at most MAX_HOT_KEYS rows
+    routed = left.join(F.broadcast(rows), F.col(key) == F.col(_HOT), "left")
+    spread_key = F.concat(F.lit("~"), spread.cast("string"))
+    return routed.withColumn(
+        _ROUTE, F.when(F.col(_HOT).isNull(), F.col(key)).otherwise(spread_key)
     )

@@ -111,14 +111,17 @@ _LABEL_SETS = {
 }
 
 
-def _labelled_pairs(order_items: DataFrame, products: DataFrame) -> DataFrame:
+def _labelled_pairs(
+    order_items: DataFrame, products: DataFrame, route_from: int
+) -> DataFrame:
     joined = hotkeys.left_join_unique(
         order_product_pairs(order_items),
         "product_id",
         [labels_per_product(products)],
-        hot=hotkeys.heavy_keys(order_items, "product_id"),
+        facts=order_items,
         # pairs are unique, so the order id tells the rows of one product apart
         spread=F.col("order_id"),
+        route_from=route_from,
     )
     return joined.withColumns(
         {
@@ -146,15 +149,23 @@ def _set_columns() -> list[Column]:
     return [_union_of_sets(s).alias(f"_{s}") for s in _LABEL_SETS]
 
 
-def order_products_summary(order_items: DataFrame, products: DataFrame) -> DataFrame:
+def order_products_summary(
+    order_items: DataFrame,
+    products: DataFrame,
+    route_from: int = hotkeys.ROUTE_FROM_BYTES,
+) -> DataFrame:
     """Sorted, comma-joined product names, categories and brands of each order."""
-    pairs = _labelled_pairs(order_items, products)
+    pairs = _labelled_pairs(order_items, products, route_from)
     return _with_products_columns(pairs.groupBy("order_id").agg(*_set_columns()))
 
 
-def order_lines_summary(order_items: DataFrame, products: DataFrame) -> DataFrame:
+def order_lines_summary(
+    order_items: DataFrame,
+    products: DataFrame,
+    route_from: int = hotkeys.ROUTE_FROM_BYTES,
+) -> DataFrame:
     """Amounts and product lists together, from one pass over the lines."""
-    pairs = _labelled_pairs(order_items, products)
+    pairs = _labelled_pairs(order_items, products, route_from)
     return _with_products_columns(
         pairs.groupBy("order_id").agg(*_items_columns(), *_set_columns())
     )

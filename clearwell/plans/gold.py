@@ -138,14 +138,17 @@ def _spread_by_row(orders: DataFrame) -> DataFrame:
     return orders.withColumn("_row", F.monotonically_increasing_id())
 
 
-def delivery_status(silver: Silver) -> DataFrame:
+def delivery_status(
+    silver: Silver, route_from: int = hotkeys.ROUTE_FROM_BYTES
+) -> DataFrame:
     orders = silver["orders"]
     joined = hotkeys.left_join_unique(
         _spread_by_row(orders.select("order_id", "customer_id", "order_date")),
         "order_id",
         [S.delivery_summary(silver["delivery_events"])],
-        hot=hotkeys.heavy_keys(orders, "order_id"),
+        facts=orders,
         spread=F.col("_row"),
+        route_from=route_from,
     )
     d = _delivery_columns("_0")
     return joined.select(
@@ -236,7 +239,9 @@ def orphan_counts(silver: Silver) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def customer_order_360(silver: Silver) -> DataFrame:
+def customer_order_360(
+    silver: Silver, route_from: int = hotkeys.ROUTE_FROM_BYTES
+) -> DataFrame:
     """One row per order: customer, amounts, products, reviews and delivery.
 
     The narrow customer join comes first; after it the orders are shuffled once by
@@ -255,14 +260,15 @@ def customer_order_360(silver: Silver) -> DataFrame:
         orders_with_customers(narrow, silver["customers"]),
         "order_id",
         [
-            S.order_lines_summary(silver["order_items"], silver["products"]),
-            S.order_reviews_summary(
-                silver["reviews"].where(F.col("orderId").isNotNull())
+            S.order_lines_summary(
+                silver["order_items"], silver["products"], route_from
             ),
+            S.order_reviews_summary(silver["reviews"]),
             S.delivery_summary(silver["delivery_events"]),
         ],
-        hot=hotkeys.heavy_keys(silver["orders"], "order_id"),
+        facts=silver["orders"],
         spread=F.col("_row"),
+        route_from=route_from,
     )
     amounts = ("gross_amount", "discount_amount", "net_amount")
     d = _delivery_columns("_2")
