@@ -1066,6 +1066,7 @@ def oracle_sql() -> dict[str, str]:
     found["join_items_products"] = join_items_products()
     found["join_orphans"] = join_orphans()
     found |= {name: table(name) for name in TABLE_CTES}
+    found["customer_order_360_routed"] = found["customer_order_360"]
     found["latest_event_window"] = latest_event()
     found["gold_counts"] = gold_counts()
     found["layer_counts"] = layer_counts()

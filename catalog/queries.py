@@ -6,7 +6,7 @@ dates and timestamps as text.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,8 +46,27 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def valid_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return silver.silver_tables(bronze(spark, sf_dir))
+class ValidTables(Mapping[str, DataFrame]):
+    """Valid rows by entity, planned only for the entities a query asks for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._raw = lambda entity: spark_table(spark, sf_dir, entity)
+        self._planned: dict[str, DataFrame] = {}
+
+    def __getitem__(self, entity: str) -> DataFrame:
+        if entity not in self._planned:
+            tagged = silver.tag(self._raw(entity), ENTITIES[entity])
+            self._planned[entity] = silver.valid(tagged)
+        return self._planned[entity]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(ENTITIES)
+
+    def __len__(self) -> int:
+        return len(ENTITIES)
+
+
+valid_tables = ValidTables
 
 
 def tagged_tables(
@@ -231,6 +250,12 @@ def customer_order_360(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _gold("customer_order_360")(spark, sf_dir)
 
 
+def customer_order_360_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table, with heavy keys looked for however small the inputs are."""
+    orders = gold.customer_order_360(valid_tables(spark, sf_dir), route_from=0)
+    return portable(orders)
+
+
 def gold_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = gold.build_gold(valid_tables(spark, sf_dir), list(gold.BUILDERS))
     return quality.row_counts(tables)
@@ -279,6 +304,7 @@ def queries() -> dict[str, Query]:
     found["join_items_products"] = join_items_products
     found["join_orphans"] = lambda spark, d: gold.orphan_counts(valid_tables(spark, d))
     found |= {table: _gold(table) for table in gold.BUILDERS}
+    found["customer_order_360_routed"] = customer_order_360_routed
     found["latest_event_window"] = lambda spark, d: portable(
         S.latest_event(valid_tables(spark, d)["delivery_events"])
     )

@@ -1,0 +1,121 @@
+"""Each of the nineteen controls, tripped by a row made for it."""
+
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+
+from clearwell.plans import controls
+
+SCHEMA = (
+    "order_id string, customer_id string, order_date date, order_status string,"
+    " order_total_amount decimal(10,2), first_name string, last_name string,"
+    " email string, customer_found boolean, number_of_products bigint,"
+    " total_quantity bigint, gross_amount decimal(30,2),"
+    " discount_amount decimal(30,2), net_amount decimal(30,2),"
+    " number_of_categories bigint, average_rating decimal(3,2),"
+    " number_of_reviews bigint, verified_reviews bigint,"
+    " first_event_timestamp timestamp, last_event_timestamp timestamp,"
+    " number_of_events bigint, last_delivery_status string,"
+    " shipping_date timestamp, delivery_date timestamp, delivery_found boolean"
+)
+D = Decimal
+GOOD = {
+    "order_id": "ORD-0001",
+    "customer_id": "C001",
+    "order_date": date(2026, 3, 1),
+    "order_status": "PAID",
+    "order_total_amount": D("10.00"),
+    "first_name": "Ann",
+    "last_name": "Lee",
+    "email": "a@b.co",
+    "customer_found": True,
+    "number_of_products": 1,
+    "total_quantity": 1,
+    "gross_amount": D("10.00"),
+    "discount_amount": D("1.00"),
+    "net_amount": D("9.00"),
+    "number_of_categories": 1,
+    "average_rating": D("4.00"),
+    "number_of_reviews": 1,
+    "verified_reviews": 1,
+    "first_event_timestamp": datetime(2026, 3, 2),
+    "last_event_timestamp": datetime(2026, 3, 4),
+    "number_of_events": 2,
+    "last_delivery_status": "DELIVERED",
+    "shipping_date": datetime(2026, 3, 2),
+    "delivery_date": datetime(2026, 3, 4),
+    "delivery_found": True,
+}
+TRIPS = {
+    "Order_id manquants": {"order_id": None},
+    "Customer_id manquants": {"customer_id": None},
+    "Montants négatifs ou absents": {"order_total_amount": None},
+    "Incohérence des montants calculés": {"net_amount": D("8.99")},
+    "Quantités ou compteurs négatifs": {"verified_reviews": -1},
+    "Notes moyennes hors intervalle": {"average_rating": D("5.01")},
+    "Livraison antérieure à la commande": {"order_date": date(2026, 3, 5)},
+    "Expédition antérieure à la commande": {"shipping_date": datetime(2026, 2, 2)},
+    "Livraison antérieure à l'expédition": {"shipping_date": datetime(2026, 3, 5)},
+    "Dernier événement antérieur au premier": {
+        "last_event_timestamp": datetime(2026, 3, 1)
+    },
+    "Statuts de commande non normalisés": {"order_status": None},
+    "Commandes annulées marquées livrées": {"order_status": "CANCELLED"},
+    "Commandes livrées sans date": {"delivery_date": None},
+    "Date de livraison sans statut DELIVERED": {"last_delivery_status": "SHIPPED"},
+    "Incohérence de l'indicateur customer_found": {"customer_found": False},
+    "Incohérence de l'indicateur delivery_found": {"delivery_found": False},
+}
+ALSO = {"Livraison antérieure à la commande": {"Expédition antérieure à la commande"}}
+
+
+def frame(spark, *rows):
+    return spark.createDataFrame([tuple(r.values()) for r in rows], SCHEMA)
+
+
+def failing(spark, *rows):
+    results = controls.validation_results(frame(spark, *rows)).collect()
+    assert [r.controle for r in results] == controls.LABELS
+    assert all((r.statut == "OK") == (r.nombre_anomalies == 0) for r in results)
+    return {r.controle: r.nombre_anomalies for r in results if r.statut == "ERREUR"}
+
+
+def test_a_clean_row_fails_only_the_missing_column(spark):
+    assert failing(spark, GOOD) == {controls.SCORE_MISSING: 1}
+
+
+def test_no_rows(spark):
+    assert failing(spark) == {controls.SCORE_MISSING: 1}
+
+
+@pytest.mark.parametrize("label", TRIPS)
+def test_each_control_fires(spark, label):
+    fired = failing(spark, GOOD, GOOD | {"order_id": "ORD-0002"} | TRIPS[label])
+    expected = {label, controls.SCORE_MISSING} | ALSO.get(label, set())
+    assert fired == {name: 1 for name in expected}
+
+
+def test_duplicates_are_counted_as_groups(spark):
+    other = GOOD | {"order_id": "ORD-0002"}
+    assert failing(spark, GOOD, GOOD, GOOD, other)[controls.UNIQUE_ORDERS] == 1
+
+
+def test_score_column(spark):
+    scored = controls.with_quality_score(
+        frame(spark, GOOD, GOOD | {"order_id": "2", "order_status": "ODD"})
+    )
+    assert [r[controls.SCORE] for r in scored.collect()] == [D("100.00"), D("93.75")]
+    results = controls.validation_results(scored)
+    assert controls.failed(results).collect()[0].controle == (
+        "Statuts de commande non normalisés"
+    )
+    assert controls.present(results).first().statut == "OK"
+
+
+def test_one_scan_and_no_driver_round_trip(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    frame(spark, GOOD).write.parquet(path)
+    results = controls.validation_results(spark.read.parquet(path))
+    plan = results._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
