@@ -185,7 +185,10 @@ def run_reports(
     views: Mapping[str, DataFrame],
     catalogue: Mapping[str, str] = REPORTS,
 ) -> ReportRun:
-    """Plan every report over ``views``; one bad report does not stop the others."""
+    """Plan every report over ``views``; one bad report does not stop the others.
+
+    The views exist under their names only while the reports are planned.
+    """
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     run = ReportRun()
@@ -194,6 +197,8 @@ def run_reports(
             run.results[name] = spark.sql(tidy(sql))
         except PySparkException as error:
             run.errors[name] = str(error)
+    for name in views:
+        spark.catalog.dropTempView(name)
     return run
 
 
