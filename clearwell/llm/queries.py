@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clearwell.llm.common import table
+from clearwell.llm.html import extract_main_text
 from clearwell.llm.mixing import mix_sources
+from clearwell.llm.quality import score_quality
+from clearwell.llm.tokens import count_tokens
+from clearwell.llm.toxicity import fit_toxicity, score_toxicity
 from clearwell.llm.urlfilter import judge_urls
 from clearwell.llm.warc import pages_round_trip
 
@@ -20,22 +24,48 @@ URL_RULES = (
 )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, model).select("doc_id", "toxicity.*")
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES).drop("via")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score_quality(docs, table(spark, sf_dir, "labels"), keep=("doc_id",))
+    return scored.select("doc_id", "quality.*")
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages_round_trip(spark, table(spark, sf_dir, "pages")).drop("target_uri")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).drop("source")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_toxicity": op3_toxicity,
         "op4_url_filters": op4_url_filters,
+        "op5_quality": op5_quality,
         "op6_warc": op6_warc,
+        "op7_token_counts": op7_token_counts,
+        "op9_html_text": op9_html_text,
         "op10_mix_sources": op10_mix_sources,
     }
 
