@@ -267,8 +267,10 @@ def read_warc(files: DataFrame, keep_payload: bool = True) -> DataFrame:
                             held, weight = [], 0
         yield pa.RecordBatch.from_pylist(held, schema)
 
+    # by number, so that Spark does not put the short list of paths into one task
     paths = files.select("path")
-    return paths.repartition(F.col("path")).mapInArrow(read, RECORD_SCHEMA)
+    tasks = min(max(1, paths.count()), 10_000)
+    return paths.repartition(tasks, "path").mapInArrow(read, RECORD_SCHEMA)
 
 
 def _fields(headers: dict[str, str], block: bytes, keep_payload: bool) -> dict:
