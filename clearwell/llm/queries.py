@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clearwell.llm.common import table
+from clearwell.llm.decontaminate import find_passages
 from clearwell.llm.html import extract_main_text
+from clearwell.llm.jaccard import jaccard_classes
 from clearwell.llm.mixing import mix_sources
 from clearwell.llm.quality import score_quality
 from clearwell.llm.tokens import count_tokens
+from clearwell.llm.topk import top_k_inner_products
 from clearwell.llm.toxicity import fit_toxicity, score_toxicity
 from clearwell.llm.urlfilter import judge_urls
 from clearwell.llm.warc import pages_round_trip
@@ -24,6 +27,14 @@ URL_RULES = (
 )
 
 
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k_inner_products(table(spark, sf_dir, "embeddings"))
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
@@ -50,6 +61,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
@@ -60,19 +75,40 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_top_k": op1_top_k,
+        "op2_decontaminate": op2_decontaminate,
         "op3_toxicity": op3_toxicity,
         "op4_url_filters": op4_url_filters,
         "op5_quality": op5_quality,
         "op6_warc": op6_warc,
         "op7_token_counts": op7_token_counts,
+        "op8_jaccard_join": op8_jaccard_join,
         "op9_html_text": op9_html_text,
         "op10_mix_sources": op10_mix_sources,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filters": OP4_SQL, "op6_warc": OP6_SQL}
-
+    return {"op1_top_k": OP1_SQL, "op4_url_filters": OP4_SQL, "op6_warc": OP6_SQL}
+
+
+OP1_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+    WHERE q.vec_id % 20 = 0
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
 
 # No page of the tables holds a canonical link or a refresh, so there are no aliases.
 OP4_SQL = """
