@@ -184,7 +184,7 @@ def jaccard_classes(
     words: int = 5,
     bands: int = 24,
     rows_per_band: int = 4,
-    tolerance: float = 1e-5,
+    tolerance: float = 1e-9,
     block_rows: int = 1_024,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -248,7 +248,7 @@ def jaccard_classes(
     )
     with_set = signed.where("id IS NOT NULL AND digest IS NOT NULL")
     sets = written(
-        with_set.groupBy("digest").agg(F.min("id").alias("node"), F.count("*").alias("copies")), "jaccard-sets"
+        with_set.groupBy("digest").agg(F.min("id").alias("node"), F.count_distinct("id").alias("copies")), "jaccard-sets"
     )
     reps = with_set.join(sets.select("digest", F.col("node").alias("id"), "copies"), ["digest", "id"])
     reps = reps.select(F.col("id").alias("node"), "bands", "values")
@@ -395,12 +395,22 @@ def _verified(rows, id_name, kind, words, hashes, threshold, tolerance, block_ro
 
 
 def exact_similar(grams: list[np.ndarray], size: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
-    """Whether |a & b| >= threshold * |a | b|, pair by pair on the sorted sets."""
+    """Whether |a & b| >= threshold * |a | b| for pairs sorted by i: one row's set is marked, its partners' looked up."""
     out = np.zeros(len(i), bool)
-    for at, (x, y) in enumerate(zip(i.tolist(), j.tolist(), strict=True)):
-        a, b = grams[x], grams[y]
-        place = np.searchsorted(a, b)
-        place[place == len(a)] = 0
-        common = int((a[place] == b).sum())
-        out[at] = common >= threshold * (len(a) + len(b) - common) - 1e-9
+    if not len(i):
+        return out
+    used = np.unique(np.concatenate([i, j]))
+    number = np.unique(np.concatenate([grams[x] for x in used]), return_inverse=True)[1].astype(np.int32)
+    parts = dict(zip(used.tolist(), np.split(number, np.cumsum(size[used])[:-1]), strict=True))
+    mark = np.zeros(int(number.max()) + 1, bool)
+    first = np.append(np.flatnonzero(np.append(True, i[1:] != i[:-1])), len(i))
+    for begin, end in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        own = parts[int(i[begin])]
+        mark[own] = True
+        partners = j[begin:end]
+        found = mark[np.concatenate([parts[y] for y in partners.tolist()])]
+        lengths = size[partners]
+        common = np.add.reduceat(found.astype(np.int64), np.cumsum(lengths) - lengths)
+        out[begin:end] = common >= threshold * (len(own) + lengths - common) - 1e-9
+        mark[own] = False
     return out
