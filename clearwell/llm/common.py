@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +40,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def per_worker(kind: str, key: str, make: Callable[[], Any]) -> Any:
+    """One object of a kind in a Python worker, kept from task to task while the key stays."""
+    name = "clearwell_worker_objects"
+    kept = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    if kept.get(kind, (None, None))[0] != key:
+        kept[kind] = (key, make())
+    return kept[kind][1]
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have yet, whatever the case."""
     taken = {c.lower() for c in df.columns}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from clearwell.llm.common import written
+from clearwell.llm.common import per_worker, written
 
 #: How byte-level BPE files split text before merging (a fixed value of those tokenizers).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -111,7 +112,7 @@ def count_tokens(
     )
 
     def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PieceCounter(tokenizer.value)
+        counter = _counter(tokenizer)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             whole = [len(t) <= chunk_chars for t in texts]
@@ -146,6 +147,11 @@ def count_tokens(
     )
 
 
+def _counter(tokenizer) -> PieceCounter:
+    text = tokenizer.value
+    return per_worker("pieces", hashlib.sha1(text.encode()).hexdigest(), lambda: PieceCounter(text))
+
+
 def _spliced(rows: DataFrame, tokenizer, chunk: int, overlap: int) -> DataFrame:
     """``row``, ``n_tokens``, ``aligned`` of long texts by chunks with common boundaries."""
 
@@ -162,7 +168,7 @@ def _spliced(rows: DataFrame, tokenizer, chunk: int, overlap: int) -> DataFrame:
                     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PieceCounter(tokenizer.value)
+        counter = _counter(tokenizer)
         for batch in batches:
             out = []
             for r in batch.to_pylist():
