@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from clearwell.operators import rejects, silver
 from clearwell.operators import summaries as S
 from clearwell.plans import controls, gold, quality, reports
 from clearwell.plans.entities import ENTITIES
-from clearwell.sources import drift, readers
+from clearwell.sources import drift, readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -251,9 +252,11 @@ def customer_order_360(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_order_360_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same table, with heavy keys looked for however small the inputs are."""
-    orders = gold.customer_order_360(valid_tables(spark, sf_dir), route_from=0)
-    return portable(orders)
+    """The same table from summaries that were written first, as the pipeline builds it."""
+    valid = valid_tables(spark, sf_dir)
+    base = f"{sinks.shared_dir(spark)}/summaries-{uuid4().hex}"
+    stored = sinks.stage_tables(gold.order_summaries(valid), base)
+    return portable(gold.customer_order_360(valid, stored))
 
 
 def gold_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearwell.functions import vocab as V
-from clearwell.operators import hotkeys
+from clearwell.operators import joins
 
 
 def line_amounts() -> dict[str, Column]:
@@ -52,31 +52,14 @@ def rating_columns(id_column: str) -> list[Column]:
 # --- order lines -------------------------------------------------------------------
 
 
-def order_product_pairs(order_items: DataFrame) -> DataFrame:
-    """One row per (order, product) with its amounts.
-
-    Shuffling by the pair spreads a hot order and a hot product alike; the steps
-    by order or by product then see each pair once.
-    """
-    amounts = line_amounts()
-    return (
-        order_items.select(
-            "order_id",
-            "product_id",
-            "quantity",
-            *[c.alias(n) for n, c in amounts.items()],
-        )
-        .groupBy("order_id", "product_id")
-        .agg(
-            F.sum("quantity").alias("quantity"),
-            *[F.sum(n).alias(n) for n in amounts],
-        )
-    )
+def _lines(order_items: DataFrame) -> DataFrame:
+    amounts = [c.alias(n) for n, c in line_amounts().items()]
+    return order_items.select("order_id", "product_id", "quantity", *amounts)
 
 
 def _items_columns() -> list[Column]:
     return [
-        F.count("product_id").alias("number_of_products"),
+        F.size(F.collect_set("product_id")).cast("bigint").alias("number_of_products"),
         F.sum("quantity").alias("total_quantity"),
         total("gross_amount").alias("gross_amount"),
         total("discount_amount").alias("discount_amount"),
@@ -85,7 +68,7 @@ def _items_columns() -> list[Column]:
 
 
 def order_items_summary(order_items: DataFrame) -> DataFrame:
-    return order_product_pairs(order_items).groupBy("order_id").agg(*_items_columns())
+    return _lines(order_items).groupBy("order_id").agg(*_items_columns())
 
 
 def labels_per_product(products: DataFrame) -> DataFrame:
@@ -111,21 +94,14 @@ _LABEL_SETS = {
 }
 
 
-def _labelled_pairs(
-    order_items: DataFrame, products: DataFrame, route_from: int
-) -> DataFrame:
-    joined = hotkeys.left_join_unique(
-        order_product_pairs(order_items),
-        "product_id",
-        [labels_per_product(products)],
-        facts=order_items,
-        # pairs are unique, so the order id tells the rows of one product apart
-        spread=F.col("order_id"),
-        route_from=route_from,
+def _labelled_lines(order_items: DataFrame, products: DataFrame) -> DataFrame:
+    """Each line beside the label sets of its product; a hot product is split by Spark."""
+    joined = joins.left_join_summary(
+        _lines(order_items), "product_id", labels_per_product(products), "_labels"
     )
     return joined.withColumns(
         {
-            field: F.coalesce(F.col(f"_0.{field}"), F.array(F.lit(fallback)))
+            field: F.coalesce(F.col(f"_labels.{field}"), F.array(F.lit(fallback)))
             for field, fallback in _LABEL_SETS.items()
         }
     )
@@ -149,25 +125,21 @@ def _set_columns() -> list[Column]:
     return [_union_of_sets(s).alias(f"_{s}") for s in _LABEL_SETS]
 
 
-def order_products_summary(
-    order_items: DataFrame,
-    products: DataFrame,
-    route_from: int = hotkeys.ROUTE_FROM_BYTES,
-) -> DataFrame:
+def order_products_summary(order_items: DataFrame, products: DataFrame) -> DataFrame:
     """Sorted, comma-joined product names, categories and brands of each order."""
-    pairs = _labelled_pairs(order_items, products, route_from)
-    return _with_products_columns(pairs.groupBy("order_id").agg(*_set_columns()))
+    lines = _labelled_lines(order_items, products)
+    return _with_products_columns(lines.groupBy("order_id").agg(*_set_columns()))
 
 
-def order_lines_summary(
-    order_items: DataFrame,
-    products: DataFrame,
-    route_from: int = hotkeys.ROUTE_FROM_BYTES,
-) -> DataFrame:
-    """Amounts and product lists together, from one pass over the lines."""
-    pairs = _labelled_pairs(order_items, products, route_from)
+def order_lines_summary(order_items: DataFrame, products: DataFrame) -> DataFrame:
+    """Amounts and product lists together, from one pass over the lines.
+
+    The lines meet the products first; one aggregation by order follows, combined
+    before its shuffle, so a hot order arrives as one row per map task.
+    """
+    lines = _labelled_lines(order_items, products)
     return _with_products_columns(
-        pairs.groupBy("order_id").agg(*_items_columns(), *_set_columns())
+        lines.groupBy("order_id").agg(*_items_columns(), *_set_columns())
     )
 
 

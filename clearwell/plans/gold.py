@@ -17,12 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearwell.functions import vocab as V
-from clearwell.operators import hotkeys
+from clearwell.operators import joins
 from clearwell.operators import summaries as S
 from clearwell.operators.silver import require
 from clearwell.plans.entities import ENTITIES
 
 Silver = Mapping[str, DataFrame]
+Summaries = Mapping[str, DataFrame]
 
 
 def _or_zero(column: Column, type_name: str = "bigint") -> Column:
@@ -132,25 +133,22 @@ def _delivery_columns(side: str) -> dict[str, Column]:
     }
 
 
-def _spread_by_row(orders: DataFrame) -> DataFrame:
-    # Numbered right at the scan, where a task that is run again sees the same rows
-    # in the same order.  Values of the row would not do: copies are equal.
-    return orders.withColumn("_row", F.monotonically_increasing_id())
+def order_summaries(silver: Silver) -> dict[str, DataFrame]:
+    """The per-order summaries that several business tables share."""
+    return {
+        "lines": S.order_lines_summary(silver["order_items"], silver["products"]),
+        "reviews": S.order_reviews_summary(silver["reviews"]),
+        "delivery": S.delivery_summary(silver["delivery_events"]),
+    }
 
 
-def delivery_status(
-    silver: Silver, route_from: int = hotkeys.ROUTE_FROM_BYTES
-) -> DataFrame:
-    orders = silver["orders"]
-    joined = hotkeys.left_join_unique(
-        _spread_by_row(orders.select("order_id", "customer_id", "order_date")),
-        "order_id",
-        [S.delivery_summary(silver["delivery_events"])],
-        facts=orders,
-        spread=F.col("_row"),
-        route_from=route_from,
+def delivery_status(silver: Silver, summaries: Summaries | None = None) -> DataFrame:
+    delivery = (
+        summaries["delivery"] if summaries else S.delivery_summary(silver["delivery_events"])
     )
-    d = _delivery_columns("_0")
+    orders = silver["orders"].select("order_id", "customer_id", "order_date")
+    joined = joins.left_join_summary(orders, "order_id", delivery, "_delivery")
+    d = _delivery_columns("_delivery")
     return joined.select(
         "order_id",
         "customer_id",
@@ -216,62 +214,71 @@ RELATIONS = {
 
 
 def orphan_counts(silver: Silver) -> DataFrame:
-    """``relation, n_rows, n_unmatched``: fact rows whose key has no counterpart."""
-    parts = []
-    for relation, (facts, fact_key, dimension, key) in RELATIONS.items():
-        per_key = (
-            silver[facts]
-            .groupBy(F.col(fact_key).alias("_key"))
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        known = silver[dimension].select(F.col(key).alias("_known")).distinct()
-        matched = per_key.join(known, F.col("_key") == F.col("_known"), "left")
-        parts.append(
-            matched.agg(
-                F.sum("n").alias("n_rows"),
-                F.sum(F.when(F.col("_known").isNull(), F.col("n"))).alias("missed"),
-            ).select(
-                F.lit(relation).alias("relation"),
-                _or_zero(F.col("n_rows")).alias("n_rows"),
-                _or_zero(F.col("missed")).alias("n_unmatched"),
-            )
+    """``relation, n_rows, n_unmatched``: fact rows whose key has no counterpart.
+
+    Each table is read once: its rows become (dimension, key, relation) entries, with
+    no relation where the row is the dimension's own.  One aggregation by key counts
+    the entries of each relation and sees whether the key is known; hot keys are
+    combined before the shuffle, and nothing is joined.
+    """
+    entries: dict[str, list[Column]] = {}
+
+    def add(table: str, dimension: str, key: str, relation: str | None) -> None:
+        entry = F.struct(
+            F.lit(dimension).alias("dimension"),
+            F.col(key).alias("key"),
+            F.lit(relation).cast("string").alias("relation"),
         )
-    return reduce(DataFrame.unionByName, parts)
+        entries.setdefault(table, []).append(entry)
+
+    for relation, (facts, fact_key, dimension, _) in RELATIONS.items():
+        add(facts, dimension, fact_key, relation)
+    for dimension, key in {(d, k) for _, _, d, k in RELATIONS.values()}:
+        add(dimension, dimension, key, None)
+    rows = reduce(
+        DataFrame.unionByName,
+        [
+            silver[table].select(F.explode(F.array(*columns)).alias("e")).select("e.*")
+            for table, columns in sorted(entries.items())
+        ],
+    )
+    own = F.col("relation").isNull()
+    per_key = rows.groupBy("dimension", "key").agg(
+        F.max(own & F.col("key").isNotNull()).alias("known"),
+        *[F.count_if(F.col("relation") == r).alias(r) for r in RELATIONS],
+    )
+    counts = per_key.agg(
+        *[
+            F.struct(
+                F.lit(r).alias("relation"),
+                _or_zero(F.sum(r)).alias("n_rows"),
+                _or_zero(F.sum(F.when(~F.col("known"), F.col(r)))).alias("n_unmatched"),
+            ).alias(r)
+            for r in RELATIONS
+        ]
+    )
+    return counts.select(F.explode(F.array(*RELATIONS)).alias("r")).select("r.*")
 
 
-def customer_order_360(
-    silver: Silver, route_from: int = hotkeys.ROUTE_FROM_BYTES
-) -> DataFrame:
+def customer_order_360(silver: Silver, summaries: Summaries | None = None) -> DataFrame:
     """One row per order: customer, amounts, products, reviews and delivery.
 
-    The narrow customer join comes first; after it the orders are shuffled once by
-    order id, and the three summaries, already partitioned that way, join in place.
+    The summaries are brought together by order first, so the orders are shuffled by
+    order id once and meet one row per order, in a join whose heavy keys Spark splits.
     """
-    narrow = _spread_by_row(
-        silver["orders"].select(
-            "order_id",
-            "customer_id",
-            "order_date",
-            F.col("status").alias("order_status"),
-            F.col("total_amount").alias("order_total_amount"),
-        )
-    )
-    joined = hotkeys.left_join_unique(
-        orders_with_customers(narrow, silver["customers"]),
+    narrow = silver["orders"].select(
         "order_id",
-        [
-            S.order_lines_summary(
-                silver["order_items"], silver["products"], route_from
-            ),
-            S.order_reviews_summary(silver["reviews"]),
-            S.delivery_summary(silver["delivery_events"]),
-        ],
-        facts=silver["orders"],
-        spread=F.col("_row"),
-        route_from=route_from,
+        "customer_id",
+        "order_date",
+        F.col("status").alias("order_status"),
+        F.col("total_amount").alias("order_total_amount"),
+    )
+    known = joins.combined("order_id", summaries or order_summaries(silver))
+    joined = joins.left_join_summary(
+        orders_with_customers(narrow, silver["customers"]), "order_id", known, "_order"
     )
     amounts = ("gross_amount", "discount_amount", "net_amount")
-    d = _delivery_columns("_2")
+    d = _delivery_columns("_order.delivery")
     return joined.select(
         "order_id",
         "customer_id",
@@ -284,16 +291,16 @@ def customer_order_360(
         "customer_city",
         "customer_country",
         "customer_found",
-        _or_zero(F.col("_0.number_of_products")).alias("number_of_products"),
-        _or_zero(F.col("_0.total_quantity")).alias("total_quantity"),
-        *[_or_zero(F.col(f"_0.{a}"), V.TOTAL_AMOUNT).alias(a) for a in amounts],
-        F.coalesce("_0.product_names", F.lit(V.NO_PRODUCT)).alias("product_names"),
-        F.coalesce("_0.categories", F.lit(V.UNKNOWN_F)).alias("categories"),
-        F.coalesce("_0.brands", F.lit(V.UNKNOWN_F)).alias("brands"),
-        _or_zero(F.col("_0.number_of_categories")).alias("number_of_categories"),
-        F.col("_1.average_rating").alias("average_rating"),
-        _or_zero(F.col("_1.number_of_reviews")).alias("number_of_reviews"),
-        _or_zero(F.col("_1.verified_reviews")).alias("verified_reviews"),
+        _or_zero(F.col("_order.lines.number_of_products")).alias("number_of_products"),
+        _or_zero(F.col("_order.lines.total_quantity")).alias("total_quantity"),
+        *[_or_zero(F.col(f"_order.lines.{a}"), V.TOTAL_AMOUNT).alias(a) for a in amounts],
+        F.coalesce("_order.lines.product_names", F.lit(V.NO_PRODUCT)).alias("product_names"),
+        F.coalesce("_order.lines.categories", F.lit(V.UNKNOWN_F)).alias("categories"),
+        F.coalesce("_order.lines.brands", F.lit(V.UNKNOWN_F)).alias("brands"),
+        _or_zero(F.col("_order.lines.number_of_categories")).alias("number_of_categories"),
+        F.col("_order.reviews.average_rating").alias("average_rating"),
+        _or_zero(F.col("_order.reviews.number_of_reviews")).alias("number_of_reviews"),
+        _or_zero(F.col("_order.reviews.verified_reviews")).alias("verified_reviews"),
         d["first_event_timestamp"].alias("first_event_timestamp"),
         d["last_event_timestamp"].alias("last_event_timestamp"),
         d["number_of_events"].alias("number_of_events"),
@@ -308,18 +315,48 @@ def customer_order_360(
     )
 
 
-BUILDERS: dict[str, Callable[[Silver], DataFrame]] = {
+def _part_of_lines(summaries: Summaries, like: DataFrame) -> DataFrame:
+    return summaries["lines"].select(*like.columns)
+
+
+def order_items_summary(silver: Silver, summaries: Summaries | None = None) -> DataFrame:
+    own = S.order_items_summary(silver["order_items"])
+    return _part_of_lines(summaries, own) if summaries else own
+
+
+def order_products_summary(silver: Silver, summaries: Summaries | None = None) -> DataFrame:
+    own = S.order_products_summary(silver["order_items"], silver["products"])
+    return _part_of_lines(summaries, own) if summaries else own
+
+
+def order_reviews_summary(silver: Silver, summaries: Summaries | None = None) -> DataFrame:
+    return summaries["reviews"] if summaries else S.order_reviews_summary(silver["reviews"])
+
+
+def delivery_summary(silver: Silver, summaries: Summaries | None = None) -> DataFrame:
+    return summaries["delivery"] if summaries else S.delivery_summary(silver["delivery_events"])
+
+
+BUILDERS: dict[str, Callable[..., DataFrame]] = {
     "customer_order_360": customer_order_360,
     "sales_by_product": sales_by_product,
     "customer_orders": customer_orders,
     "product_ratings": product_ratings,
     "delivery_status": delivery_status,
-    "order_items_summary": lambda s: S.order_items_summary(s["order_items"]),
-    "order_products_summary": lambda s: S.order_products_summary(
-        s["order_items"], s["products"]
-    ),
-    "order_reviews_summary": lambda s: S.order_reviews_summary(s["reviews"]),
-    "delivery_summary": lambda s: S.delivery_summary(s["delivery_events"]),
+    "order_items_summary": order_items_summary,
+    "order_products_summary": order_products_summary,
+    "order_reviews_summary": order_reviews_summary,
+    "delivery_summary": delivery_summary,
+}
+
+# The tables that are built from the shared summaries.
+FROM_SUMMARIES = {
+    "customer_order_360",
+    "delivery_status",
+    "order_items_summary",
+    "order_products_summary",
+    "order_reviews_summary",
+    "delivery_summary",
 }
 
 # The five tables a pipeline run writes unless told otherwise.
@@ -345,7 +382,13 @@ def present(table: str, df: DataFrame) -> DataFrame:
 
 
 def build_gold(
-    silver: Silver, tables: list[str] | None = None
+    silver: Silver, tables: list[str] | None = None, summaries: Summaries | None = None
 ) -> dict[str, DataFrame]:
+    """The tables by name; ``summaries``, if given, stand in for those of `order_summaries`."""
     require(silver, ENTITIES)
-    return {name: BUILDERS[name](silver) for name in tables or CORE_TABLES}
+    return {
+        name: BUILDERS[name](silver, summaries)
+        if name in FROM_SUMMARIES
+        else BUILDERS[name](silver)
+        for name in tables or CORE_TABLES
+    }

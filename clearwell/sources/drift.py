@@ -2,23 +2,59 @@
 
 from __future__ import annotations
 
+import json
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MISSING, UNEXPECTED, DIFFERS = "missing", "unexpected", "type_differs"
+MISSING, UNEXPECTED, DIFFERS, MALFORMED = "missing", "unexpected", "type_differs", "malformed"
+
+# JSON types that a declared type accepts without drift.
+_ACCEPTED = {
+    "string": {"string"},
+    "date": {"string"},
+    "timestamp": {"string"},
+    "timestamp_ntz": {"string"},
+    "binary": {"string"},
+    "boolean": {"boolean"},
+    "float": {"bigint", "double"},
+    "double": {"bigint", "double"},
+    "decimal": {"bigint", "double"},
+    "tinyint": {"bigint"},
+    "smallint": {"bigint"},
+    "int": {"bigint"},
+    "bigint": {"bigint"},
+    "struct": {"struct"},
+    "map": {"struct"},
+    "array": {"array"},
+}
+
+
+def _step(name: str) -> str:
+    """A field name as a path step; names with special characters are quoted."""
+    return "`" + name.replace("`", "``") + "`" if set(name) & set(".[]`") or not name else name
+
 
+def _leaves(kind: T.DataType, path: str = "") -> dict[str, str]:
+    """Path to type name at every depth; ``[]`` stands for the elements of an array.
 
-def _leaves(schema: T.StructType, prefix: str = "") -> dict[str, str]:
-    """Dotted path to type name, nested structs included as both path and leaves."""
+    What a map holds is data, not schema, so its entries are no paths.
+    """
     found: dict[str, str] = {}
-    for f in schema.fields:
-        path = f"{prefix}{f.name}"
-        if isinstance(f.dataType, T.StructType):
+    if isinstance(kind, T.StructType):
+        if path:
             found[path] = "struct"
-            found |= _leaves(f.dataType, f"{path}.")
-        else:
-            found[path] = f.dataType.simpleString()
+        for f in kind.fields:
+            found |= _leaves(f.dataType, f"{path}.{_step(f.name)}" if path else _step(f.name))
+    elif isinstance(kind, T.ArrayType):
+        found[path] = "array"
+        found |= _leaves(kind.elementType, f"{path}[]")
+    else:
+        found[path] = kind.simpleString()
     return found
 
 
@@ -38,82 +74,87 @@ def schema_diff(
     )
 
 
-_PATHS = """
-WITH documents AS (
-  SELECT try_parse_json({json}) AS doc FROM {documents}
-), fields AS (
-  SELECT f.pos, f.key, f.value, schema_of_variant(f.value) AS type
-  FROM documents, LATERAL variant_explode_outer(doc) f
-), nested AS (
-  -- every field, beside each of its own fields if it is an object
-  SELECT fields.pos, fields.key, fields.type,
-         coalesce(g.pos, 0) = 0 AS first, g.key AS inner_key,
-         schema_of_variant(g.value) AS inner_type
-  FROM fields, LATERAL variant_explode_outer(value) g
-), paths AS (
-  SELECT explode(array_compact(array(
-    CASE WHEN first AND coalesce(pos, 0) = 0 THEN struct('' AS path, 'OBJECT' AS type) END,
-    CASE WHEN first AND key IS NOT NULL THEN struct(key AS path, type) END,
-    CASE WHEN inner_key IS NOT NULL
-         THEN struct(concat(key, '.', inner_key) AS path, inner_type AS type) END
-  ))) AS p
-  FROM nested
-)
-SELECT p.path,
-       CASE WHEN p.type LIKE 'OBJECT%' THEN 'struct' ELSE lower(p.type) END AS type,
-       count(*) AS n_docs
-FROM paths
-GROUP BY ALL
-"""
+def _json_type(value: object) -> str:
+    if value is None:
+        return "void"
+    names = {bool: "boolean", int: "bigint", float: "double", str: "string", dict: "struct"}
+    return names.get(type(value), "array")
+
+
+def document_paths(document: object, opaque: frozenset[str] = frozenset()) -> set[tuple[str, str]]:
+    """(path, type) of everything a document holds, at any depth, without recursion.
+
+    The entries below an ``opaque`` path (a declared map) are left out.
+    """
+    found: set[tuple[str, str]] = set()
+    todo = [("", document)]
+    while todo:
+        path, value = todo.pop()
+        if path:
+            found.add((path, _json_type(value)))
+        if path in opaque:
+            continue
+        if isinstance(value, dict):
+            todo += [(f"{path}.{_step(k)}" if path else _step(k), v) for k, v in value.items()]
+        elif isinstance(value, list):
+            todo += [(f"{path}[]", v) for v in value]
+    return found
+
+
+def _drift(text: str | None, want: dict[str, str], opaque: frozenset[str]) -> Iterator[tuple]:
+    """(field, kind, expected, actual) of one document."""
+    try:
+        document = json.loads(text) if text is not None else None
+    except (ValueError, RecursionError):
+        document = None
+    if not isinstance(document, dict):
+        yield "", MALFORMED, "struct", None
+        return
+    found = document_paths(document, opaque)
+    for path in want.keys() - {p for p, _ in found}:
+        yield path, MISSING, want[path], None
+    for path, kind in found:
+        expected = want.get(path)
+        if expected is None:
+            yield path, UNEXPECTED, None, kind
+        elif kind != "void" and kind not in _ACCEPTED.get(expected.partition("(")[0].partition("<")[0], {expected}):
+            yield path, DIFFERS, expected, kind
 
 
 def document_drift(df: DataFrame, json_column: str, expected: T.StructType) -> DataFrame:
     """Drift counted over JSON texts: ``field, kind, expected, actual, n_docs``.
 
-    Reads each document's own fields, top level and one level of nesting, so it
-    also shows how often a field is absent or has another type, which a merged
-    inferred schema hides.  One pass over the documents; only counts per path are
-    shuffled.  A JSON null has no type and counts as present.
+    Reads each document's own fields at any depth, so it also shows how often a field
+    is absent or has another type, which a merged inferred schema hides.  A path
+    counts once a document, whatever the array elements it comes from; names with
+    special characters are quoted in it.  A JSON null has no type and counts as
+    present.  A text that is no JSON object (null, broken or another value) is
+    ``malformed`` and misses nothing.
+
+    One pass over the documents: no fixed number of expressions reaches every depth,
+    so tasks walk the documents and hand on counts a batch, and only these meet.
     """
-    spark = df.sparkSession
-    counted = spark.sql(_PATHS, json=F.col(json_column), documents=df)
-    want = spark.createDataFrame(
-        sorted(_leaves(expected).items()), "field string, expected string"
+    want = _leaves(expected)
+    opaque = frozenset(p for p, kind in want.items() if kind.startswith("map<"))
+    schema = pa.schema(
+        [(c, pa.string()) for c in ("field", "kind", "expected", "actual")] + [("n", pa.int64())]
     )
-    seen = counted.where("path <> ''").withColumnRenamed("path", "field")
-    surprising = (
-        seen.join(want, "field", "left")
-        .where("expected IS NULL OR (type <> expected AND type <> 'void')")
-        .select(
-            "field",
-            F.when(F.col("expected").isNull(), UNEXPECTED)
-            .otherwise(DIFFERS)
-            .alias("kind"),
-            "expected",
-            F.col("type").alias("actual"),
-            "n_docs",
-        )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: Counter = Counter()
+            for text in batch.column(0).to_pylist():
+                seen.update(_drift(text, want, opaque))
+            rows = [dict(zip(schema.names, [*key, n], strict=True)) for key, n in seen.items()]
+            yield pa.RecordBatch.from_pylist(rows, schema)
+
+    counted = df.select(df[json_column].cast("string").alias("doc")).mapInArrow(
+        count, "field string, kind string, expected string, actual string, n long"
     )
-    # the root path counts all documents; every expected path starts from there
-    absent = (
-        counted.where("path = ''")
-        .select(
-            F.explode(F.array(*[F.lit(f) for f in sorted(_leaves(expected))])).alias(
-                "field"
-            ),
-            F.col("n_docs").alias("present"),
-        )
-        .unionByName(seen.select("field", (-F.col("n_docs")).alias("present")))
-        .groupBy("field")
-        .agg(F.sum("present").alias("n_docs"))
-        .join(want, "field", "inner")
-        .where("n_docs > 0")
-        .select(
-            "field",
-            F.lit(MISSING).alias("kind"),
-            "expected",
-            F.lit(None).cast("string").alias("actual"),
-            "n_docs",
-        )
+    return counted.groupBy("field", "kind", "expected", "actual").agg({"n": "sum"}).withColumnRenamed(
+        "sum(n)", "n_docs"
     )
-    return surprising.unionByName(absent)
+
+
+# Workers need no copy of this module.
+cloudpickle.register_pickle_by_value(__import__(__name__, fromlist=["_drift"]))

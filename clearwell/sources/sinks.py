@@ -39,6 +39,15 @@ def write_tables(tables: Mapping[str, DataFrame], base: str) -> dict[str, int]:
     return {name: write_table(df, f"{base}/{name}") for name, df in tables.items()}
 
 
+def stage_tables(tables: Mapping[str, DataFrame], base: str) -> dict[str, DataFrame]:
+    """Write the tables and return them as read back, so what follows starts from files."""
+    stored = {}
+    for name, df in tables.items():
+        df.write.parquet(f"{base}/{name}")
+        stored[name] = df.sparkSession.read.schema(df.schema).parquet(f"{base}/{name}")
+    return stored
+
+
 def write_rejects(
     rejected: Mapping[str, DataFrame], base: str, payload: str = "raw"
 ) -> dict[str, int]:

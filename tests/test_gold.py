@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from catalog import oracles as O
 from catalog.queries import portable
-from clearwell.operators import hotkeys
+from clearwell.operators import joins
 from clearwell.operators import summaries as S
 from clearwell.plans import gold
+from clearwell.sources import sinks
 
 SCHEMAS = {
     "customers": "customer_id string, first_name string, last_name string,"
@@ -162,10 +163,11 @@ def test_gold_table(tables, name):
     check(portable(gold.BUILDERS[name](silver)), con, name)
 
 
-@pytest.mark.parametrize("builder", [gold.customer_order_360, gold.delivery_status])
-def test_routed_joins_give_the_same_rows(tables, builder):
+@pytest.mark.parametrize("name", sorted(gold.FROM_SUMMARIES))
+def test_stored_summaries_give_the_same_rows(tables, name, tmp_path):
     silver, con = tables
-    check(portable(builder(silver, route_from=0)), con, builder.__name__)
+    stored = sinks.stage_tables(gold.order_summaries(silver), str(tmp_path))
+    check(portable(gold.build_gold(silver, [name], stored)[name]), con, name)
 
 
 def test_latest_event_agrees_with_the_summary(tables):
@@ -196,53 +198,63 @@ def test_orphan_counts(tables):
     )
 
 
-def test_heavy_keys_are_found_and_bounded(spark):
-    ids = spark.range(30_000).select(
-        F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.col("id").cast("string")).alias("k")
-    )
-    assert [r.k for r in hotkeys.heavy_keys(ids, "k").collect()] == ["HOT"]
-    even = spark.range(1000).select((F.col("id") % 10).cast("string").alias("k"))
-    assert hotkeys.heavy_keys(even, "k").count() == 10
-    nulls = spark.range(10).select(F.lit(None).cast("string").alias("k"))
-    assert hotkeys.heavy_keys(nulls, "k").count() == 0
-
-
-def test_a_hot_key_is_spread_over_the_tasks(spark):
-    """With one key holding half the rows, no task gets more than its share."""
-    left = spark.range(0, 20_000, 1, 8).select(
-        F.when(F.col("id") % 2 == 0, "HOT").otherwise(F.col("id").cast("string")).alias("k"),
-        F.monotonically_increasing_id().alias("_row"),
-    )
-    right = left.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    old = {
-        c: spark.conf.get(c)
-        for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
-    }
-    try:
-        for c, v in zip(old, ("false", "-1"), strict=True):
-            spark.conf.set(c, v)
+SPLITTING = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+}
+
+
+@pytest.fixture
+def splitting(spark):
+    """Small partitions count as skewed, and nothing is broadcast."""
+    old = {c: spark.conf.get(c, None) for c in SPLITTING}
+    for c, v in SPLITTING.items():
+        spark.conf.set(c, v)
+    yield
+    for c, v in old.items():
+        spark.conf.unset(c) if v is None else spark.conf.set(c, v)
 
-        def largest(route_from):
-            joined = hotkeys.left_join_unique(
-                left, "k", [right], left, F.col("_row"), route_from
-            )
-            # using the right side keeps the join from being optimised away
-            per_task = joined.groupBy(F.spark_partition_id()).agg(
-                F.count(F.lit(1)).alias("count"), F.max("_0.n").alias("n")
-            )
-            assert joined.where("_0.n = 10000").count() == 10_000
-            most, copies = per_task.agg(F.max("count"), F.max("n")).first()
-            assert copies == 10_000
-            return most
 
-        assert largest(1 << 40) > 10_000
-        assert largest(0) < 5_000
+@pytest.mark.parametrize("hot", [1, 3, 150])
+def test_heavy_keys_of_any_number_are_split(spark, splitting, hot):
+    """However many heavy keys there are, no task of the join gets one whole."""
+    n, partitions = 300_000, 300
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        left = spark.range(0, n, 1, 64).select(
+            F.when(F.col("id") % 2 == 0, F.concat(F.lit("HOT"), (F.col("id") / 2 % hot).cast("int")))
+            .otherwise(F.concat(F.lit("K"), F.col("id")))
+            .alias("k"),
+            F.xxhash64("id").alias("noise"),  # sizes in bytes then follow the rows
+        )
+        summary = left.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        joined = joins.left_join_summary(left, "k", summary, "s")
+        out = joined.select("*", F.spark_partition_id().alias("task")).cache()
+        assert out.count() == n and out.where("s.n IS NULL").isEmpty()
+        assert out.where(f"s.n = {n // 2 // hot}").count() == n // 2
+        most = out.groupBy("task").count().agg(F.max("count")).first()[0]
+        assert most <= n / 20  # one of few heavy keys has n / 2 or n / 6 rows
     finally:
-        for c, v in old.items():
-            spark.conf.set(c, v)
+        spark.catalog.clearCache()
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_order_lines_cross_few_exchanges(tables, splitting):
+    silver, _ = tables
+    items, products = silver["order_items"], silver["products"]
+
+    def exchanges(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
+    assert exchanges(S.order_items_summary(items)) == 1
+    # labels by product and again for the join, lines by product, lines by order
+    assert exchanges(S.order_lines_summary(items, products)) == 4
 
-def test_a_shared_customer_is_split_by_adaptive_execution(spark):
+
+def test_a_shared_customer_is_split_by_adaptive_execution(spark, splitting):
     orders = spark.range(0, 200_000, 1, 8).select(
         F.col("id").cast("string").alias("order_id"),
         F.when(F.col("id") % 3 == 0, "C001")
@@ -253,26 +265,11 @@ def test_a_shared_customer_is_split_by_adaptive_execution(spark):
         F.concat(F.lit("C"), F.lpad(F.col("id").cast("string"), 3, "0")).alias("customer_id"),
         *[F.lit("x").alias(c) for c in ("first_name", "last_name", "email", "city", "country")],
     )
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
-    }
-    old = {c: spark.conf.get(c, None) for c in settings}
-    try:
-        for c, v in settings.items():
-            spark.conf.set(c, v)
-        joined = gold.orders_with_customers(orders, people)
-        assert joined.count() >= 200_000
-        joined = joined.repartition(4, "order_id")  # as the order joins that follow
-        joined.collect()
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert "skew=true" in plan
-    finally:
-        for c, v in old.items():
-            spark.conf.unset(c) if v is None else spark.conf.set(c, v)
+    joined = gold.orders_with_customers(orders, people)
+    assert joined.count() >= 200_000
+    joined = joined.repartition(4, "order_id")  # as the order joins that follow
+    joined.collect()
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
 
 
 def test_present_orders_and_leaves_unsorted_tables_alone(tables):

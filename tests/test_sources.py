@@ -86,6 +86,57 @@ def test_document_drift(spark):
     }
 
 
+def test_drift_reaches_every_depth(spark):
+    want = T.StructType.fromDDL(
+        "id bigint, price double, a struct<b: struct<c: string>>, tags array<string>,"
+        " lines array<struct<sku: string, n: int>>, m map<string, int>, day date"
+    )
+    good = (
+        '{"id": 1, "price": 1.5, "a": {"b": {"c": "x"}}, "tags": ["t"],'
+        ' "lines": [{"sku": "s", "n": 2}], "m": {"k": 1}, "day": "2026-01-01"}'
+    )
+    deep = (
+        '{"id": 2, "price": 12.25, "a": {"b": {"c": {"d": [1]}}}, "tags": [1, 2],'
+        ' "lines": [{"sku": 1, "n": 2}, {"sku": "s", "n": 2, "x": true}], "m": {}, "day": 5}'
+    )
+    df = spark.createDataFrame([(good,), (good,), (deep,)], "doc string").repartition(2)
+    got = {tuple(r) for r in drift.document_drift(df, "doc", want).collect()}
+    assert got == {
+        ("a.b.c", "type_differs", "string", "struct", 1),
+        ("a.b.c.d", "unexpected", None, "array", 1),
+        ("a.b.c.d[]", "unexpected", None, "bigint", 1),
+        ("tags[]", "type_differs", "string", "bigint", 1),
+        ("lines[].sku", "type_differs", "string", "bigint", 1),
+        ("lines[].x", "unexpected", None, "boolean", 1),
+        ("day", "type_differs", "date", "bigint", 1),
+    }
+    nested = "[" * 400 + "]" * 400
+    many = spark.createDataFrame([(f'{{"id": {nested}}}',)], "doc string")
+    assert drift.document_drift(many, "doc", T.StructType.fromDDL("id array<int>")).count() > 300
+
+
+def test_drift_of_malformed_texts_and_dotted_names(spark):
+    docs = [("{broken",), (None,), ("[1]",), ('{"n.k": 1, "n": {"k": "v"}}',), ('{"n": {"k": "v"}, "`": 1}',)]
+    df = spark.createDataFrame(docs, "doc string")
+    got = {tuple(r) for r in drift.document_drift(df, "doc", T.StructType.fromDDL("n struct<k: string>")).collect()}
+    assert got == {
+        ("", "malformed", "struct", None, 3),
+        ("`n.k`", "unexpected", None, "bigint", 1),
+        ("````", "unexpected", None, "bigint", 1),
+    }
+    assert drift.document_drift(df.limit(0), "doc", T.StructType.fromDDL("a int")).count() == 0
+
+
+def test_schema_diff_ignores_field_order_inside_arrays(spark):
+    a = T.StructType.fromDDL("x array<struct<b: int, c: array<struct<d: int, e: int>>>>")
+    b = T.StructType.fromDDL("x array<struct<c: array<struct<e: int, d: int>>, b: int>>")
+    assert drift.schema_diff(spark, a, b).isEmpty()
+    c = T.StructType.fromDDL("x array<struct<c: array<struct<e: int, d: string>>, b: int>>")
+    assert [tuple(r) for r in drift.schema_diff(spark, a, c).collect()] == [
+        ("x[].c[].d", "type_differs", "string", "int")
+    ]
+
+
 def test_jdbc_options():
     split = readers.JdbcRange("id", "0", "1000", 8)
     scan = readers.jdbc_options("jdbc:x", table="public.orders", split=split, user="u")
