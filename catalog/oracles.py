@@ -45,9 +45,43 @@ def name(x: str) -> str:
     return initcap(f"trim({x}, ' ')")
 
 
-def words(x: str, mapping: dict[str, str], otherwise: str) -> str:
+# The spellings that the cleaning rules know, by SQL value.
+COUNTRY_SPELLINGS = ["fr", "france", "french republic"]
+STATUS_SPELLINGS = {
+    "'PAID'": ["paid", "payée", "payee"],
+    "'COMPLETED'": ["completed", "complete", "terminée", "terminee"],
+    "'CANCELLED'": ["cancelled", "canceled", "annulée", "annulee"],
+    "'PENDING'": ["pending", "en attente"],
+}
+PAYMENT_SPELLINGS = {
+    "'CARD'": ["credit card", "card", "cb", "carte bancaire"],
+    "'WIRE'": ["bank transfer", "wire", "virement"],
+    "'PAYPAL'": ["paypal"],
+}
+BOOLEAN_SPELLINGS = {
+    "true": ["true", "yes", "oui", "1", "active", "verified"],
+    "false": ["false", "no", "non", "0", "inactive"],
+}
+CATEGORY_SPELLINGS = {
+    "'High-tech'": ["high tech", "hightech"],
+    "'Electronique'": ["electronique"],
+    "'Informatique'": ["informatique"],
+}
+EVENT_TYPES = [
+    "ORDER_CREATED",
+    "PREPARING",
+    "SHIPPED",
+    "IN_TRANSIT",
+    "OUT_FOR_DELIVERY",
+    "DELIVERED",
+    "DELIVERY_FAILED",
+    "CANCELLED",
+]
+
+
+def words(x: str, mapping: dict[str, list[str]], otherwise: str) -> str:
     cases = " ".join(
-        f"WHEN {x} IN ({', '.join(repr(w) for w in spelled.split('|'))}) THEN {value}"
+        f"WHEN {x} IN ({', '.join(repr(w) for w in spelled)}) THEN {value}"
         for value, spelled in mapping.items()
     )
     return f"CASE {cases} ELSE {otherwise} END"
@@ -63,33 +97,16 @@ def up(x: str) -> str:
 
 def country(x: str) -> str:
     return words(
-        low(x), {"'FRANCE'": "fr|france|french republic"}, f"nullif({up(x)}, '')"
+        low(x), {"'FRANCE'": COUNTRY_SPELLINGS}, f"nullif({up(x)}, '')"
     )
 
 
 def status(x: str) -> str:
-    return words(
-        low(x),
-        {
-            "'PAID'": "paid|payée|payee",
-            "'COMPLETED'": "completed|complete|terminée|terminee",
-            "'CANCELLED'": "cancelled|canceled|annulée|annulee",
-            "'PENDING'": "pending|en attente",
-        },
-        up(x),
-    )
+    return words(low(x), STATUS_SPELLINGS, up(x))
 
 
 def payment(x: str) -> str:
-    return words(
-        low(x),
-        {
-            "'CARD'": "credit card|card|cb|carte bancaire",
-            "'WIRE'": "bank transfer|wire|virement",
-            "'PAYPAL'": "paypal",
-        },
-        up(x),
-    )
+    return words(low(x), PAYMENT_SPELLINGS, up(x))
 
 
 def currency(x: str) -> str:
@@ -97,35 +114,16 @@ def currency(x: str) -> str:
 
 
 def boolean(x: str) -> str:
-    return words(
-        low(x),
-        {
-            "true": "true|yes|oui|1|active|verified",
-            "false": "false|no|non|0|inactive",
-        },
-        "NULL",
-    )
+    return words(low(x), BOOLEAN_SPELLINGS, "NULL")
 
 
 def category(x: str) -> str:
     spaced = f"lower(regexp_replace(trim({x}, ' '), '[-_]+', ' ', 'g'))"
-    return words(
-        spaced,
-        {
-            "'High-tech'": "high tech|hightech",
-            "'Electronique'": "electronique",
-            "'Informatique'": "informatique",
-        },
-        initcap(spaced),
-    )
+    return words(spaced, CATEGORY_SPELLINGS, initcap(spaced))
 
 
 def event_type(x: str) -> str:
-    known = (
-        "ORDER_CREATED|PREPARING|SHIPPED|IN_TRANSIT|OUT_FOR_DELIVERY|DELIVERED"
-        "|DELIVERY_FAILED|CANCELLED"
-    )
-    return words(up(x), {up(x): known}, "'UNKNOWN'")
+    return words(up(x), {up(x): EVENT_TYPES}, "'UNKNOWN'")
 
 
 def phone(x: str) -> str:

@@ -31,8 +31,6 @@ class Rule:
 class Entity:
     name: str
     raw_schema: str
-    key: tuple[str, ...]
-    recency: tuple[str, ...]
     clean: Callable[[bool], Columns]
     rules: Callable[[], list[Rule]]
 
@@ -187,8 +185,6 @@ CUSTOMERS = Entity(
     "customer_id string, first_name string, last_name string, email string,"
     " phone string, city string, country string, birth_date string,"
     " created_at string",
-    ("customer_id",),
-    ("created_at",),
     _clean_customers,
     _customer_rules,
 )
@@ -196,8 +192,6 @@ ORDERS = Entity(
     "orders",
     "order_id string, customer_id string, order_date string, status string,"
     " payment_method string, total_amount string, currency string",
-    ("order_id",),
-    ("order_date",),
     _clean_orders,
     _order_rules,
 )
@@ -205,8 +199,6 @@ PRODUCTS = Entity(
     "products",
     "product_id string, product_name string, category string, brand string,"
     " current_price string, active string",
-    ("product_id",),
-    (),
     _clean_products,
     _product_rules,
 )
@@ -214,8 +206,6 @@ ORDER_ITEMS = Entity(
     "order_items",
     "order_id string, product_id string, quantity string, unit_price string,"
     " discount string",
-    ("order_id", "product_id"),
-    (),
     _clean_order_items,
     _order_item_rules,
 )
@@ -223,8 +213,6 @@ REVIEWS = Entity(
     "reviews",
     "_id string, customerId string, productId string, orderId string,"
     " rating string, comment string, reviewDate string, verifiedPurchase string",
-    ("_id",),
-    ("reviewDate",),
     _clean_reviews,
     _review_rules,
 )
@@ -233,8 +221,6 @@ DELIVERY_EVENTS = Entity(
     "event_id string, order_id string, event_type string, event_timestamp string,"
     " location struct<city: string, country: string>,"
     " carrier struct<id: string, name: string>",
-    ("event_id",),
-    ("event_timestamp",),
     _clean_delivery_events,
     _delivery_event_rules,
 )

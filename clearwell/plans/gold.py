@@ -349,14 +349,14 @@ BUILDERS: dict[str, Callable[..., DataFrame]] = {
     "delivery_summary": delivery_summary,
 }
 
-# The tables that are built from the shared summaries.
-FROM_SUMMARIES = {
-    "customer_order_360",
-    "delivery_status",
-    "order_items_summary",
-    "order_products_summary",
-    "order_reviews_summary",
-    "delivery_summary",
+# The tables that are built from shared summaries, and which of them they need.
+SUMMARIES_OF = {
+    "customer_order_360": {"lines", "reviews", "delivery"},
+    "delivery_status": {"delivery"},
+    "order_items_summary": {"lines"},
+    "order_products_summary": {"lines"},
+    "order_reviews_summary": {"reviews"},
+    "delivery_summary": {"delivery"},
 }
 
 # The five tables a pipeline run writes unless told otherwise.
@@ -388,7 +388,7 @@ def build_gold(
     require(silver, ENTITIES)
     return {
         name: BUILDERS[name](silver, summaries)
-        if name in FROM_SUMMARIES
+        if name in SUMMARIES_OF
         else BUILDERS[name](silver)
         for name in tables or CORE_TABLES
     }

@@ -1,13 +1,14 @@
 """The full run: raw tables to valid rows, rejects, business tables and reports.
 
-Every layer is written before the next one reads it.  The raw sources are read
-once per entity, a lost executor costs tasks and not the run, and each join
-starts from files, where Spark can split a skewed key.
+Every layer is written before the next one reads it.  Each raw source is read
+once, a lost executor costs tasks and not the run, and each join starts from files,
+where Spark can split a skewed key.  The per-order summaries are written before the
+business tables that share them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from uuid import uuid4
 
@@ -24,10 +25,11 @@ _REJECTED = "_rejected"
 
 @dataclass
 class Run:
-    """Rows written per table, by layer, and the reports that failed."""
+    """Rows written per table, by layer, the reports that failed, and the staging folder."""
 
     counts: dict[str, dict[str, int]] = field(default_factory=dict)
     report_errors: dict[str, str] = field(default_factory=dict)
+    staging: str = ""
 
 
 def stage_silver(
@@ -58,6 +60,17 @@ def stage_silver(
     return Silver(tagged, valid, rejected)
 
 
+def stage_raw(
+    spark: SparkSession, bronze: Mapping[str, DataFrame], staging: str
+) -> dict[str, DataFrame]:
+    """The raw tables with those that cleaning and reports share written once.
+
+    Every raw source is read a single time, so both see the same snapshot.
+    """
+    shared = {name: bronze[name] for name in reports.NUMERIC_COLUMNS if name in bronze}
+    return dict(bronze) | sinks.stage_tables(shared, f"{staging}/raw")
+
+
 def run_pipeline(
     spark: SparkSession,
     bronze: Mapping[str, DataFrame],
@@ -65,34 +78,53 @@ def run_pipeline(
     staging: str | None = None,
     gold_tables: list[str] | None = None,
     exact_width: bool = False,
+    quality_score: bool = False,
+    currencies: Sequence[str] | None = None,
+    allow_local: bool = False,
 ) -> Run:
     """Write every layer under ``output``.
 
-    ``staging`` defaults to a new folder in the session's ``spark.checkpoint.dir``.
+    ``staging`` defaults to a new folder in the session's ``spark.checkpoint.dir``;
+    what is staged there stays, and ``Run.staging`` names it for the caller to remove.
+    On a cluster a folder on a machine's own disk is refused unless ``allow_local``.
+    ``quality_score`` adds that column to the controls' input, ``currencies`` a check
+    of the currency domain.
     """
     staging = staging or f"{sinks.shared_dir(spark)}/clearwell-{uuid4().hex}"
+    for path in (staging, output):
+        sinks.check_shared(spark, path, allow_local)
+    run = Run(staging=staging)
+    require(bronze, ENTITIES)
+    bronze = stage_raw(spark, bronze, staging)
     silver = stage_silver(spark, bronze, staging, exact_width)
-    run = Run()
     run.counts["rejects"] = sinks.write_rejects(silver.rejected, f"{output}/rejects")
 
     run.counts["quality"] = sinks.write_tables(
         {
-            "silver_quality": quality.quality_report(silver.valid),
+            "silver_quality": quality.quality_report(silver.valid, currencies),
             "silver_counts": quality.split_counts(silver.tagged),
         },
         f"{output}/quality",
     )
+    names = gold_tables or gold.CORE_TABLES
+    needed = set().union(*[gold.SUMMARIES_OF.get(name, set()) for name in names])
+    planned = gold.order_summaries(silver.valid)
+    summaries = sinks.stage_tables(
+        {name: planned[name] for name in sorted(needed)}, f"{staging}/summaries"
+    )
     run.counts["gold"] = sinks.write_tables(
-        gold.build_gold(silver.valid, gold_tables), f"{output}/gold"
+        gold.build_gold(silver.valid, names, summaries), f"{output}/gold"
     )
     if "customer_order_360" in run.counts["gold"]:
         stored = spark.read.parquet(f"{output}/gold/customer_order_360")
+        if quality_score:
+            stored = controls.with_quality_score(stored)
         run.counts["validation"] = sinks.write_tables(
             {"validation_results": controls.validation_results(stored)}, output
         )
-    done = reports.run_reports(spark, reports.raw_views(bronze))
-    run.counts["sql_results"] = sinks.write_tables(
-        done.results, f"{output}/sql_results"
+    done = reports.write_reports(
+        spark, reports.run_reports(spark, reports.raw_views(bronze)), f"{output}/sql_results"
     )
+    run.counts["sql_results"] = done.counts
     run.report_errors = done.errors
     return run

@@ -12,10 +12,14 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from pathlib import Path
 
+from uuid import uuid4
+
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clearwell.sources import sinks
+
 # Declared numeric columns of the relational tables.  Everything else, the order
 # date included, stays text: the data does not honour its declared types.
 NUMERIC_COLUMNS = {
@@ -48,7 +52,6 @@ SELECT sold.product_id,
        quantity_sold * coalesce(copies, 1) AS quantity_sold,
        round(revenue * coalesce(copies, 1), 2) AS revenue
 FROM sold LEFT JOIN catalogue ON sold.product_id = catalogue.product_id
-ORDER BY revenue DESC NULLS FIRST, product_id
 """
 
 CUSTOMER_ORDERS = """
@@ -69,7 +72,6 @@ SELECT spent.customer_id,
        number_of_orders,
        coalesce(total_spent * coalesce(copies, 1), 0) AS total_spent
 FROM spent LEFT JOIN people ON spent.customer_id = people.customer_id
-ORDER BY total_spent DESC, customer_id
 """
 
 ORDERS_BY_STATUS = """
@@ -88,11 +90,12 @@ WITH dated AS (
   FROM orders
 ), parsed AS (
   SELECT CASE
-           WHEN day RLIKE '^\\d\\d/\\d\\d/\\d\\d\\d\\d$'
+           -- fixed values: the three spellings of a date that this report knows
+           WHEN day RLIKE '^\\d{2}/\\d{2}/\\d{4}$'
              THEN try_to_date(day, 'dd/MM/yyyy')
-           WHEN day RLIKE '^\\d\\d\\d\\d-\\d\\d-\\d\\d$'
+           WHEN day RLIKE '^\\d{4}-\\d{2}-\\d{2}$'
              THEN try_to_date(day, 'yyyy-MM-dd')
-           WHEN day RLIKE '^\\d\\d\\d\\d-\\d\\d-\\d\\d[ T]\\d\\d:\\d\\d:\\d\\d$'
+           WHEN day RLIKE '^\\d{4}-\\d{2}-\\d{2}[ T]\\d{2}:\\d{2}:\\d{2}$'
              THEN CAST(try_to_timestamp(replace(day, 'T', ' '), 'yyyy-MM-dd HH:mm:ss')
                        AS DATE)
          END AS order_day,
@@ -141,12 +144,26 @@ REPORTS = {
 }
 
 
+# The reading order of the reports whose size grows with the data.  Their texts leave
+# it out: sorting before a Parquet write costs a range shuffle that no reader uses.
+_ORDERS = {
+    "01_sales_by_product": lambda: [F.col("revenue").desc_nulls_first(), F.col("product_id")],
+    "02_customer_orders": lambda: [F.col("total_spent").desc_nulls_first(), F.col("customer_id")],
+}
+
+
+def present(name: str, df: DataFrame) -> DataFrame:
+    """A report in its reading order."""
+    return df.orderBy(*_ORDERS[name]()) if name in _ORDERS else df
+
+
 @dataclass
 class ReportRun:
-    """Results by report name, and the message of each report that failed."""
+    """Results by report name, the message of each report that failed, rows written."""
 
     results: dict[str, DataFrame] = field(default_factory=dict)
     errors: dict[str, str] = field(default_factory=dict)
+    counts: dict[str, int] = field(default_factory=dict)
 
     def status(self, spark: SparkSession) -> DataFrame:
         rows = [(name, "OK", None) for name in self.results]
@@ -187,18 +204,39 @@ def run_reports(
 ) -> ReportRun:
     """Plan every report over ``views``; one bad report does not stop the others.
 
-    The views exist under their names only while the reports are planned.
+    Each view exists under a name of its own and only while the reports are planned;
+    a report sees it by the plain name through a common table expression, so views
+    of the caller are neither replaced nor dropped.
+    """
+    run, own = ReportRun(), {name: f"clearwell_{uuid4().hex}" for name in views}
+    known = ", ".join(f"`{name}` AS (SELECT * FROM {view})" for name, view in own.items())
+    try:
+        for name, df in views.items():
+            df.createTempView(own[name])
+        for name, sql in catalogue.items():
+            try:
+                run.results[name] = spark.sql(f"WITH {known} SELECT * FROM ({tidy(sql)}\n)")
+            except PySparkException as error:
+                run.errors[name] = str(error)
+    finally:
+        for view in own.values():
+            spark.catalog.dropTempView(view)
+    return run
+
+
+def write_reports(spark: SparkSession, run: ReportRun, base: str) -> ReportRun:
+    """Write each report and the status of all; one that fails while running is noted.
+
+    A failed write leaves the others alone: its message joins ``errors``, and the
+    table ``_status`` under ``base`` lists every report with its outcome.
     """
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    run = ReportRun()
-    for name, sql in catalogue.items():
+    for name, df in list(run.results.items()):
         try:
-            run.results[name] = spark.sql(tidy(sql))
+            run.counts[name] = sinks.write_table(df, f"{base}/{name}")
         except PySparkException as error:
+            del run.results[name]
             run.errors[name] = str(error)
-    for name in views:
-        spark.catalog.dropTempView(name)
+    sinks.write_table(run.status(spark).coalesce(1), f"{base}/_status")
     return run
 
 

@@ -34,6 +34,8 @@ class Source:
     location: str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
     schema: str | T.StructType | None = None
+    # a JDBC table without a split is read by one task; that has to be asked for
+    single_task: bool = False
 
 
 def jdbc_options(
@@ -51,7 +53,7 @@ def jdbc_options(
     if query is not None:
         query = query.strip().rstrip(";").rstrip()
         # as a derived table, so that a partitioned read of a query works as well
-        table = f"({query}) AS analytical_result"
+        table = f"({query}) AS pushed_query"
     options["dbtable"] = str(table)
     if split is not None:
         options |= {
@@ -63,17 +65,26 @@ def jdbc_options(
     return options
 
 
-def read_jdbc(spark: SparkSession, url: str, **arguments: object) -> DataFrame:
-    """See :func:`jdbc_options`; give ``split`` or the scan is a single task."""
-    return spark.read.format("jdbc").options(**jdbc_options(url, **arguments)).load()
+def _require_split(options: Mapping[str, str], single_task: bool) -> None:
+    if "numPartitions" not in options and not single_task:
+        raise ValueError("a JDBC scan needs a split, or single_task=True for a small one")
+
+
+def read_jdbc(
+    spark: SparkSession, url: str, single_task: bool = False, **arguments: object
+) -> DataFrame:
+    """See :func:`jdbc_options`; give ``split``, or say that one task may read it all."""
+    options = jdbc_options(url, **arguments)
+    _require_split(options, single_task)
+    return spark.read.format("jdbc").options(**options).load()
 
 
 def run_jdbc_reports(
     spark: SparkSession, url: str, catalogue: Mapping[str, str], **connection: str
 ) -> dict[str, DataFrame]:
-    """Reports in the database's own SQL, computed there and read as tables."""
+    """Reports in the database's own SQL, computed there; each result is one task's."""
     return {
-        name: read_jdbc(spark, url, query=sql, **connection)
+        name: read_jdbc(spark, url, single_task=True, query=sql, **connection)
         for name, sql in sorted(catalogue.items())
     }
 
@@ -88,11 +99,13 @@ def read_json(
     schema: str | T.StructType | None = None,
     multi_line: bool = False,
     sampling_ratio: float = 1.0,
+    recursive: bool = False,
 ) -> DataFrame:
     """JSON Lines by default.  ``multi_line`` reads arrays or one document per file,
-    which Spark cannot split: one file is then one task."""
-    reader = spark.read.option("multiLine", str(multi_line).lower()).option(
-        "pathGlobFilter", "*.json"
+    which Spark cannot split: one file is then one task.  ``recursive`` takes the
+    files of all folders below ``path`` as well."""
+    reader = spark.read.options(
+        multiLine=multi_line, pathGlobFilter="*.json", recursiveFileLookup=recursive
     )
     if schema is None:
         return reader.option("samplingRatio", str(sampling_ratio)).json(path)
@@ -103,10 +116,23 @@ def delivery_events_schema() -> T.StructType:
     return T.StructType.fromDDL(DELIVERY_EVENTS.raw_schema)
 
 
+def require_rows(df: DataFrame, what: str) -> DataFrame:
+    """The rows; an error if there are none, as after a mistyped folder."""
+    if df.isEmpty():
+        raise ValueError(f"{what} has no rows")
+    return df
+
+
 def read_delivery_events(
-    spark: SparkSession, path: str, multi_line: bool = False
+    spark: SparkSession,
+    path: str,
+    multi_line: bool = False,
+    recursive: bool = False,
+    allow_empty: bool = False,
 ) -> DataFrame:
-    return read_json(spark, path, delivery_events_schema(), multi_line)
+    schema = delivery_events_schema()
+    events = read_json(spark, path, schema, multi_line, recursive=recursive)
+    return events if allow_empty else require_rows(events, path)
 
 
 def read_documents(
@@ -120,6 +146,8 @@ def read_documents(
 
 
 def read_source(spark: SparkSession, source: Source) -> DataFrame:
+    if source.format.lower() == "jdbc":
+        _require_split(source.options, source.single_task)
     reader = spark.read.format(source.format).options(**source.options)
     if source.schema is not None:
         reader = reader.schema(source.schema)
@@ -135,10 +163,14 @@ def as_raw(df: DataFrame, entity: str) -> DataFrame:
 
 
 def load_sources(
-    spark: SparkSession, sources: Mapping[str, Source]
+    spark: SparkSession, sources: Mapping[str, Source], allow_empty: bool = False
 ) -> dict[str, DataFrame]:
-    """Raw tables by entity name, in declared shape."""
+    """Raw tables by entity name, in declared shape; an empty source is an error."""
     missing = sorted(set(ENTITIES) - set(sources))
     if missing:
         raise KeyError(f"missing sources: {', '.join(missing)}")
-    return {name: as_raw(read_source(spark, sources[name]), name) for name in ENTITIES}
+    raw = {name: as_raw(read_source(spark, sources[name]), name) for name in ENTITIES}
+    if not allow_empty:
+        for name, df in raw.items():
+            require_rows(df, f"source {name}")
+    return raw

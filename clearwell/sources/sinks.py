@@ -21,6 +21,20 @@ def shared_dir(spark: SparkSession, default: str | None = None) -> str:
     return path.rstrip("/")
 
 
+def check_shared(spark: SparkSession, path: str, allow_local: bool = False) -> str:
+    """The path; an error if it is on one machine's disk while the session is a cluster's.
+
+    ``allow_local`` is for a disk that is mounted on every machine.
+    """
+    scheme = path.partition(":")[0] if "://" in path or path.startswith("file:") else ""
+    cluster = not spark.sparkContext.master.startswith("local")
+    if cluster and scheme in ("", "file") and not allow_local:
+        default = str(spark.conf.get("spark.hadoop.fs.defaultFS", "") or "")
+        if scheme == "file" or default in ("", "file:///"):
+            raise ValueError(f"{path} may be local to one machine; allow_local=True accepts it")
+    return path
+
+
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite"
 ) -> int:

@@ -163,7 +163,7 @@ def test_gold_table(tables, name):
     check(portable(gold.BUILDERS[name](silver)), con, name)
 
 
-@pytest.mark.parametrize("name", sorted(gold.FROM_SUMMARIES))
+@pytest.mark.parametrize("name", sorted(gold.SUMMARIES_OF))
 def test_stored_summaries_give_the_same_rows(tables, name, tmp_path):
     silver, con = tables
     stored = sinks.stage_tables(gold.order_summaries(silver), str(tmp_path))

@@ -1,7 +1,6 @@
 """Readers, drift, sinks, reports and the whole pipeline on files."""
 
-import os
-from pathlib import Path
+import json
 
 import pytest
 from compare import connect, rows
@@ -10,15 +9,12 @@ from pyspark.sql import types as T
 
 from catalog import oracles
 from catalog.bronze import bronze
-from catalog.queries import portable
+from catalog.queries import portable, valid_tables
 from clearwell.operators import silver
-from clearwell.plans import gold, pipeline, reports
+from clearwell.plans import controls, gold, pipeline, reports
 from clearwell.plans.entities import DELIVERY_EVENTS, ENTITIES, ORDERS, REVIEWS
 from clearwell.sources import drift, readers, sinks
 
-# A folder of sample files: <table>/<table>.csv and <collection>/*.json
-RAW = Path(os.environ.get("CLEARWELL_SAMPLES", "/nonexistent"))
-needs_raw = pytest.mark.skipif(not RAW.is_dir(), reason="CLEARWELL_SAMPLES not set")
 SF = "/root/testdata/sf0.001"
 
 
@@ -143,7 +139,7 @@ def test_jdbc_options():
     assert scan["dbtable"] == "public.orders" and scan["user"] == "u"
     assert (scan["partitionColumn"], scan["numPartitions"]) == ("id", "8")
     query = readers.jdbc_options("jdbc:x", query="SELECT 1;\n")
-    assert query["dbtable"] == "(SELECT 1) AS analytical_result"
+    assert query["dbtable"] == "(SELECT 1) AS pushed_query"
     with pytest.raises(ValueError):
         readers.jdbc_options("jdbc:x")
     with pytest.raises(ValueError):
@@ -273,83 +269,211 @@ def test_pipeline_writes_every_layer(spark, tmp_path):
     assert sorted(got) == sorted(con.execute(sql["reject_envelope"]).fetchall())
 
 
-@needs_raw
-def test_pipeline_on_the_sample_files(spark, tmp_path):
-    sources = {
-        n: readers.Source("csv", f"{RAW}/{n}/{n}.csv", {"header": "true"}, e.raw_schema)
-        for n, e in ENTITIES.items()
-        if n in ("customers", "orders", "products", "order_items")
-    }
-    for n in ("reviews", "delivery_events"):
-        sources[n] = readers.Source(
-            "json", f"{RAW}/{n}", {"multiLine": "true"}, ENTITIES[n].raw_schema
-        )
+CSV_FILES = {
+    "customers": [
+        "customer_id,first_name,last_name,email,phone,city,country,birth_date,created_at",
+        "c001,ann,LEE,Ann@x.org,0612345678,PARIS,fr,1990-01-02,2026-01-01 10:00:00",
+        "' C002',bo,,bo-at-x.org,,lyon,france,31-02-2020,2026-01-01 10:00:00",
+        "cust-17,cy,poe,cy@x.org,0033612345678,,French Republic,,2026-01-01 10:00:00",
+    ],
+    "orders": [
+        "order_id,customer_id,order_date,status,payment_method,total_amount,currency",
+        "ord-0001,c001,2026/03/01,paid,cb,-20,",
+        "' ORD2',C001,01/03/2026,annulée,virement,5.50,EUR",
+        "ORD-0003,C999,bad-date,Terminée,paypal,7,usd",
+    ],
+    "products": [
+        "product_id,product_name,category,brand,current_price,active",
+        "P1,blue pen,high-tech,hp,1.20,True",
+        "p002,mug,INFORMATIQUE,acme,3,False",
+    ],
+    "order_items": [
+        "order_id,product_id,quantity,unit_price,discount",
+        "ord1,p1,2,10.00,0.1",
+        "ORD-0001,P001,1,10.00,",
+        "ORD-0001,P002,3,-5,0",
+        "ORD-0002,P001,0,10,0",
+        "ORD-0002,P009,-1,10,0",
+    ],
+}
+JSON_FILES = {
+    "reviews": [
+        {"_id": "R1", "customerId": "c1", "productId": "p1", "orderId": "ord1", "rating": 4, "comment": " ok ", "reviewDate": "2026-03-02T10:00:00Z", "verifiedPurchase": True},
+        {"_id": "R2", "customerId": "c1", "productId": "P999", "orderId": "ord1", "rating": 2, "comment": "", "reviewDate": None, "verifiedPurchase": "no"},
+        {"_id": "R3", "customerId": "c1", "productId": "P1", "orderId": "ord1", "rating": 7, "comment": "x", "reviewDate": None, "verifiedPurchase": 0},
+    ],
+    "delivery_events": [
+        {"event_id": "E1", "order_id": "ord1", "event_type": "shipped", "event_timestamp": "2026-03-02T08:00:00", "location": {"city": "paris", "country": "fr"}, "carrier": {"id": "dhl1", "name": "dhl"}},
+        {"event_id": "E2", "order_id": "ord1", "event_type": "X", "event_timestamp": "2026-03-02T09:00:00", "location": {"city": "paris", "country": "fr"}, "carrier": {"id": "dhl1", "name": "dhl"}},
+    ],
+}
+
+
+@pytest.fixture
+def sources(tmp_path):
+    """CSV files with CRLF ends and JSON collections, as the sources deliver them."""
+    found = {}
+    for name, lines in CSV_FILES.items():
+        (tmp_path / f"{name}.csv").write_bytes(("\r\n".join(lines).replace("'", "") + "\r\n").encode())
+        found[name] = readers.Source("csv", str(tmp_path / f"{name}.csv"), {"header": "true"}, ENTITIES[name].raw_schema)
+    for name, documents in JSON_FILES.items():
+        (tmp_path / name / "2026" / "03").mkdir(parents=True)
+        (tmp_path / name / "2026" / "03" / "a.json").write_text(json.dumps(documents))
+        options = {"multiLine": "true", "recursiveFileLookup": "true", "pathGlobFilter": "*.json"}
+        found[name] = readers.Source("json", str(tmp_path / name), options, ENTITIES[name].raw_schema)
+    return found
+
+
+def test_pipeline_on_files(spark, sources, tmp_path):
+    """Files to reports; the expected values are worked out by hand from the rules."""
     out = str(tmp_path / "out")
+    bronze = readers.load_sources(spark, sources)
     run = pipeline.run_pipeline(
-        spark, readers.load_sources(spark, sources), out, staging=str(tmp_path / "staging")
+        spark, bronze, out, str(tmp_path / "staging"), quality_score=True, currencies=["EUR"]
     )
+    assert run.staging == str(tmp_path / "staging") and run.report_errors == {}
 
     def table(path):
         return spark.read.parquet(f"{out}/{path}")
 
-    counts = {r.entity: r.n_valid for r in table("quality/silver_counts").collect()}
+    counts = {r.entity: (r.n_valid, r.n_rejected) for r in table("quality/silver_counts").collect()}
     assert counts == {
-        "customers": 26,
-        "orders": 40,
-        "products": 15,
-        "order_items": 32,
-        "reviews": 20,
-        "delivery_events": 42,
-    }
-    assert run.counts["rejects"] == {
-        "customers": 4,
-        "orders": 0,
-        "products": 0,
-        "order_items": 48,
-        "reviews": 10,
-        "delivery_events": 18,
+        "customers": (2, 1),
+        "orders": (3, 0),
+        "products": (2, 0),
+        "order_items": (2, 3),
+        "reviews": (2, 1),
+        "delivery_events": (1, 1),
     }
-    why = table("rejects/order_items").groupBy("rejection_reason").count().collect()
-    assert {r[0]: r[1] for r in why} == {
-        "QUANTITY_NOT_POSITIVE": 37,
-        "DISCOUNT_INVALID": 11,
+    reasons = table("rejects/order_items").groupBy("rejection_reason").count().collect()
+    assert {r[0]: r[1] for r in reasons} == {"QUANTITY_NOT_POSITIVE": 2, "DISCOUNT_INVALID": 1}
+    sales = {r.product_id: (r.quantity_sold, float(r.revenue)) for r in table("gold/sales_by_product").collect()}
+    assert sales == {"P001": (2, 18.0), "P002": (3, 15.0)}
+    orders = {r.order_id: r for r in table("gold/customer_order_360").collect()}
+    assert sorted(orders) == ["ORD-0001", "ORD-0002", "ORD-0003"]
+    first = orders["ORD-0001"]
+    assert (first.number_of_products, first.total_quantity, float(first.net_amount)) == (2, 5, 33.0)
+    assert first.product_names == "Blue Pen, Mug" and first.number_of_reviews == 2
+    assert (first.last_delivery_status, first.customer_found) == ("SHIPPED", True)
+    assert not orders["ORD-0003"].customer_found and orders["ORD-0003"].order_date is None
+    checks = {(r.entity, r.check_name): r.n_bad for r in table("quality/silver_quality").collect()}
+    assert [n for (e, c), n in checks.items() if e == "orders" and "currency" in c.lower()]
+    controls = {r.controle: r.statut for r in table("validation_results").collect()}
+    assert controls["Colonne data_quality_score absente"] == "OK"
+    status = {r.report: r.status for r in table("sql_results/_status").collect()}
+    assert status == {name: "OK" for name in reports.REPORTS}
+    month = table("sql_results/04_monthly_revenue").collect()
+    assert len(month) == 0  # one date is cancelled, the others have spellings it does not know
+
+
+def test_empty_and_unsplit_sources_are_refused(spark, sources, tmp_path):
+    (tmp_path / "none").mkdir()
+    with pytest.raises(ValueError, match="no rows"):
+        readers.read_delivery_events(spark, str(tmp_path / "none"))
+    assert readers.read_delivery_events(spark, str(tmp_path / "none"), allow_empty=True).count() == 0
+    deep = str(tmp_path / "delivery_events")
+    assert readers.read_delivery_events(spark, deep, multi_line=True, recursive=True).count() == 2
+    empty = readers.Source("json", str(tmp_path / "none"), {}, ENTITIES["reviews"].raw_schema)
+    with pytest.raises(ValueError, match="source reviews"):
+        readers.load_sources(spark, sources | {"reviews": empty})
+    assert readers.load_sources(spark, sources | {"reviews": empty}, allow_empty=True)["reviews"].count() == 0
+    with pytest.raises(ValueError, match="split"):
+        readers.read_source(spark, readers.Source("jdbc", options={"url": "jdbc:x", "dbtable": "t"}))
+    with pytest.raises(ValueError, match="split"):
+        readers.read_jdbc(spark, "jdbc:x", table="t")
+
+
+def test_reports_leave_the_callers_views_alone(spark):
+    spark.range(3).createOrReplaceTempView("orders")
+    try:
+        run = reports.run_reports(spark, views(spark), {"n": "SELECT count(*) AS n FROM orders"})
+        assert run.results["n"].first().n == 4
+        assert spark.table("orders").count() == 3
+        with pytest.raises(AttributeError):  # no text: not an error of a report
+            reports.run_reports(spark, views(spark), {"worse": None})
+        assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("clearwell_")]
+    finally:
+        spark.catalog.dropTempView("orders")
+
+
+def test_a_report_that_fails_while_running_is_isolated(spark, tmp_path):
+    catalogue = {
+        "a_bad": "SELECT CAST(order_date AS INT) AS n FROM orders",
+        "b_good": "SELECT count(*) AS n FROM orders",
     }
-    quality = table("quality/silver_quality")
-    assert quality.where("check_name = 'phone_invalid'").first().n_bad == 5
-
-    sales = table("gold/sales_by_product")
-    totals = sales.agg(F.count("*"), F.sum("quantity_sold"), F.sum("revenue")).first()
-    assert [float(x) for x in totals] == [14, 69, 2024.05]
-    top = [(r.product_id, float(r.revenue)) for r in sales.orderBy(F.desc("revenue")).take(3)]
-    assert top == [("P004", 362.90), ("P010", 314.90), ("P013", 285.00)]
-
-    customers = table("gold/customer_orders")
-    assert customers.count() == 21 and customers.where("customer_found").count() == 18
-    assert float(customers.agg(F.sum("total_spent")).first()[0]) == 2330.60
-
-    ratings = table("gold/product_ratings")
-    sums = ratings.agg(F.sum("number_of_reviews"), F.sum("verified_reviews")).first()
-    assert (ratings.count(), *sums) == (13, 20, 7)
-    assert [r.product_id for r in ratings.where("NOT product_found").collect()] == ["P999"]
-
-    orders = table("gold/customer_order_360")
-    assert orders.count() == 40 and len(orders.columns) == 34
-    assert orders.where("product_names = 'Aucun produit'").count() == 19
-    assert orders.where("NOT delivery_found").count() == 14
-
-    failed = table("validation_results").where("statut = 'ERREUR'").collect()
-    assert {r.controle: r.nombre_anomalies for r in failed} == {
-        "Colonne data_quality_score absente": 1,
-        "Livraison antérieure à l'expédition": 1,
-        "Commandes annulées marquées livrées": 2,
-        "Date de livraison sans statut DELIVERED": 3,
-    }
-    assert run.report_errors == {}
-    assert list(run.counts["sql_results"].values()) == [15, 21, 6, 1, 10]
-    month = table("sql_results/04_monthly_revenue").first()
-    assert [str(month[0]), month[1], float(month[2]), float(month[3])] == [
-        "2026-03-01",
-        13,
-        614.80,
-        47.29,
-    ]
+    planned = reports.run_reports(spark, views(spark), catalogue)
+    assert set(planned.results) == set(catalogue)
+    done = reports.write_reports(spark, planned, str(tmp_path / "r"))
+    assert done.counts == {"b_good": 1} and set(done.errors) == {"a_bad"}
+    status = {r.report: (r.status, r.error is None) for r in spark.read.parquet(str(tmp_path / "r/_status")).collect()}
+    assert status == {"a_bad": ("ERREUR", False), "b_good": ("OK", True)}
+
+
+def test_each_raw_source_is_read_once(spark, tmp_path):
+    """Sources that refuse a second scan: the run still ends well."""
+    reads = spark.sparkContext.accumulator(0)
+    raw = dict(bronze(spark, SF))
+    rows = raw["customers"].count()
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    raw["customers"] = raw["customers"].mapInArrow(seen, raw["customers"].schema)
+    pipeline.run_pipeline(spark, raw, str(tmp_path / "out"), str(tmp_path / "staging"))
+    assert reads.value == rows
+
+
+def test_local_folders_are_refused_on_a_cluster():
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="allow_local"):
+        sinks.check_shared(Session(), "file:///tmp/x")
+    assert sinks.check_shared(Session(), "file:///tmp/x", allow_local=True)
+    assert sinks.check_shared(Session(), "hdfs://name/x")
+
+
+def test_reading_orders(spark):
+    """Every sorted view against the order worked out from its own rows."""
+    tables, raw = valid_tables(spark, SF), bronze(spark, SF)
+
+    def key_order(row):
+        return row[1] is not None, row[1] or ""
+
+    def ordered(df, value, key):
+        got = [(r[value], r[key]) for r in df.collect()]
+        nulls = [x for x in got if x[0] is None]
+        rest = sorted([x for x in got if x[0] is not None], key=key_order)
+        return got, nulls, sorted(rest, key=lambda x: x[0], reverse=True)
+
+    for name, (value, key) in {
+        "sales_by_product": ("revenue", "product_id"),
+        "customer_orders": ("total_spent", "customer_id"),
+        "product_ratings": ("average_rating", "product_id"),
+        "delivery_status": ("last_event_timestamp", "order_id"),
+    }.items():
+        got, nulls, rest = ordered(gold.present(name, gold.BUILDERS[name](tables)), value, key)
+        assert got == rest + sorted(nulls, key=key_order), name
+    for name, (value, key) in {
+        "01_sales_by_product": ("revenue", "product_id"),
+        "02_customer_orders": ("total_spent", "customer_id"),
+        "03_orders_by_status": ("number_of_orders", "status"),
+        "05_top_customers": ("total_spent", "customer_id"),
+    }.items():
+        df = reports.present(name, reports.report(spark, raw, name))
+        got, nulls, rest = ordered(df, value, key)
+        assert got == sorted(nulls, key=key_order) + rest, name
+    months = [r[0] for r in reports.report(spark, raw, "04_monthly_revenue").collect()]
+    assert months == sorted(months)
+    results = controls.present(controls.validation_results(gold.customer_order_360(tables)))
+    got = [(r.statut, r.controle) for r in results.collect()]
+    assert got == sorted(sorted(got, key=lambda x: x[1]), key=lambda x: x[0], reverse=True)
