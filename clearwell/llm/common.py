@@ -90,13 +90,20 @@ def sampled_texts(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str
     )
 
 
+def _spelled(node: str) -> Column:
+    # no attribute that a plan is partitioned by, so the join shuffles both sides itself
+    return F.col(node).cast("string").cast("binary")
+
+
 def _stars(edges: DataFrame, both_ways: bool) -> DataFrame:
     """One large-star (both ways) or small-star step over edges ``u > v``."""
     out = edges
     if both_ways:
         out = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = out.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    seen = out.join(least, "u")
+    # minima have one row a node; shuffled for the join, they let Spark split a hub's edges
+    minima = least.select(_spelled("u").alias("_k"), "m")
+    seen = out.join(minima, _spelled("u") == F.col("_k"))
     if both_ways:
         new = seen.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
