@@ -77,10 +77,17 @@ def labelled_sample(
         .agg(F.min(label).cast("int").alias("label"))
     )
     half = rows // 2
-    order = [F.xxhash64("sample_id"), F.col("sample_id")]
-    zeros = one.where("label = 0").orderBy(*order).limit(half)
-    ones = one.where("label = 1").orderBy(*order).limit(half)
-    return zeros.unionByName(ones)
+    count = {r["label"]: r["count"] for r in one.groupBy("label").count().collect()}
+    draw = F.pmod(F.xxhash64("sample_id"), F.lit(1 << 30))
+    parts = []
+    for label_value in (0, 1):
+        own = one.where(F.col("label") == label_value)
+        if count.get(label_value, 0) > half:
+            # a little over the share first, so that few rows meet to be cut to the bound
+            share = 1.2 * half / count[label_value]
+            own = own.where(draw < share * (1 << 30)).orderBy(draw, "sample_id").limit(half)
+        parts.append(own)
+    return parts[0].unionByName(parts[1])
 
 
 def sampled_texts(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -352,7 +352,8 @@ def pages_round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
     records = read_warc(manifest, keep_payload=False).where("kind = 'record'")
 
     def page(c: str):
-        return F.substring(F.col(c), len(ID_PREFIX) + 1, 40).cast("long")
+        # a page without an id has nothing after the prefix
+        return F.substring(F.col(c), len(ID_PREFIX) + 1, 40).try_cast("long")
 
     return records.select(
         page("record_id").alias("page_id"),

@@ -7,7 +7,7 @@ from compare import compare, connect
 
 import __spark_entry__ as entry
 from clearwell.llm.common import fresh_path
-from clearwell.llm.warc import archive_pages, encode_record, gzip_member, payload_digest, read_warc, salvage
+from clearwell.llm.warc import archive_pages, encode_record, gzip_member, pages_round_trip, payload_digest, read_warc, salvage
 
 SF = "/root/testdata/sf0.001"
 
@@ -86,6 +86,10 @@ def test_awkward_pages(spark):
     assert {r["record_id"][14:]: r["payload"].decode() for r in rows if r["warc_type"] == "response"} == {"2": "", "3": long, "9": "same"}
     digests = {r["payload_bytes"]: r["payload_digest"] for r in rows}
     assert digests[4] == base64.b32encode(hashlib.sha1(b"same").digest()).decode()
+    back = pages_round_trip(spark, df).collect()
+    assert sorted((str(r["page_id"]), str(r["refers_to"])) for r in back) == sorted(
+        [("1", "2"), ("2", "None"), ("3", "None"), ("4", "9"), ("9", "None"), ("9", "None"), ("None", "9")]
+    )
     empty = archive_pages(df.limit(0), fresh_path(spark, "warc-test"))
     assert empty.count() == 0 and read_warc(empty).count() == 0
 
