@@ -532,6 +532,45 @@ def reject(entity: str) -> str:
     )
 
 
+# Key and recency of each entity.
+UNIQUE_BY = {
+    "customers": (["customer_id"], ["created_at"]),
+    "orders": (["order_id"], ["order_date"]),
+    "products": (["product_id"], []),
+    "order_items": (["order_id", "product_id"], []),
+    "reviews": (["_id"], ["reviewDate"]),
+    "delivery_events": (["event_id"], ["event_timestamp"]),
+}
+
+
+def ranked(entity: str) -> str:
+    """``ranked_x``: valid rows with their place among the rows of the key."""
+    key, recency = UNIQUE_BY[entity]
+    columns = list(cleaned_columns()[entity])
+    order = recency + [c for c in columns if c not in recency]
+    by = ", ".join(f'"{c}" DESC NULLS LAST' for c in order)
+    keys = ", ".join(f'"{k}"' for k in key)
+    null = " OR ".join(f'"{k}" IS NULL' for k in key)
+    return (
+        f"ranked_{entity} AS (SELECT *, {null} OR"
+        f" row_number() OVER (PARTITION BY {keys} ORDER BY {by}) = 1 AS kept FROM silver_{entity})"
+    )
+
+
+def unique(entity: str) -> str:
+    body = f"SELECT {printed_columns(entity)} FROM ranked_{entity} WHERE kept"
+    return with_([*silver(entity), ranked(entity)], body)
+
+
+def duplicate_counts() -> str:
+    parts = [
+        f"SELECT '{e}' AS entity, count(*) FILTER (kept) AS n_kept,"
+        f" count(*) FILTER (NOT kept) AS n_duplicates FROM ranked_{e}"
+        for e in ALL
+    ]
+    return with_([*silver(*ALL), *map(ranked, ALL)], "\nUNION ALL ".join(parts))
+
+
 def reject_summary() -> str:
     parts = [
         f"SELECT '{e}' AS source, rejection_reason, count(*) AS n_rows"
@@ -1062,6 +1101,8 @@ def oracle_sql() -> dict[str, str]:
     found["reject_envelope"] = reject_envelope()
     found["join_orders_customers"] = join_orders_customers()
     found["join_items_products"] = join_items_products()
+    found |= {f"unique_{e}": unique(e) for e in ("customers", "orders", "delivery_events")}
+    found["duplicate_counts"] = duplicate_counts()
     found["join_orphans"] = join_orphans()
     found |= {name: table(name) for name in TABLE_CTES}
     found["customer_order_360_routed"] = found["customer_order_360"]

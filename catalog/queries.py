@@ -6,6 +6,7 @@ dates and timestamps as text.
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 from uuid import uuid4
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 from catalog.bronze import TABLES, bronze, spark_table
 from clearwell.functions import normalize as N
 from clearwell.functions import vocab as V
-from clearwell.operators import rejects, silver
+from clearwell.operators import duplicates, rejects, silver
 from clearwell.operators import summaries as S
 from clearwell.plans import controls, gold, quality, reports
 from clearwell.plans.entities import ENTITIES
@@ -219,6 +220,34 @@ def _reject(entity: str) -> Query:
     return query
 
 
+def _staged(spark: SparkSession, name: str, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="clearwell-")
+    return sinks.stage_tables(tables, f"{folder.rstrip('/')}/{name}-{uuid4().hex}")
+
+
+def _without_duplicates(entity: str) -> Query:
+    """Valid rows with one row a key (an option, off in the default pipeline)."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        stored = _staged(spark, "unique", {entity: valid_tables(spark, sf_dir)[entity]})[entity]
+        tagged = duplicates.tag_duplicates(stored, *duplicates.KEYS[entity], "_duplicate")
+        return portable(tagged.where("NOT _duplicate").drop("_duplicate"))
+
+    return query
+
+
+def duplicate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = _staged(spark, "unique", dict(valid_tables(spark, sf_dir).items()))
+    parts = [
+        duplicates.tag_duplicates(df, *duplicates.KEYS[name], "_duplicate").agg(
+            F.count_if(~F.col("_duplicate")).alias("n_kept"),
+            F.count_if("_duplicate").alias("n_duplicates"),
+        ).select(F.lit(name).alias("entity"), "n_kept", "n_duplicates")
+        for name, df in stored.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def reject_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Envelopes of all sources; the time of rejection differs by run."""
     parts = [
@@ -254,8 +283,7 @@ def customer_order_360(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customer_order_360_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same table from summaries that were written first, as the pipeline builds it."""
     valid = valid_tables(spark, sf_dir)
-    base = f"{sinks.shared_dir(spark)}/summaries-{uuid4().hex}"
-    stored = sinks.stage_tables(gold.order_summaries(valid), base)
+    stored = _staged(spark, "summaries", gold.order_summaries(valid))
     return portable(gold.customer_order_360(valid, stored))
 
 
@@ -303,6 +331,10 @@ def queries() -> dict[str, Query]:
     found |= {f"reject_{e}": _reject(e) for e in TABLES}
     found["reject_summary"] = lambda spark, d: rejects.summary(tagged_tables(spark, d))
     found["reject_envelope"] = reject_envelope
+    found |= {
+        f"unique_{e}": _without_duplicates(e) for e in ("customers", "orders", "delivery_events")
+    }
+    found["duplicate_counts"] = duplicate_counts
     found["join_orders_customers"] = join_orders_customers
     found["join_items_products"] = join_items_products
     found["join_orphans"] = lambda spark, d: gold.orphan_counts(valid_tables(spark, d))

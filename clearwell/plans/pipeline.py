@@ -15,6 +15,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clearwell.operators import duplicates
 from clearwell.operators.silver import RAW, REASON, Silver, require, tag
 from clearwell.plans import controls, gold, quality, reports
 from clearwell.plans.entities import ENTITIES
@@ -60,6 +61,23 @@ def stage_silver(
     return Silver(tagged, valid, rejected)
 
 
+def keep_newest(spark: SparkSession, silver: Silver, staging: str) -> dict[str, DataFrame]:
+    """Leave one valid row a key in ``silver``; the others, tagged as rejects."""
+    repeated = {}
+    for name, (key, recency) in duplicates.KEYS.items():
+        rows = duplicates.tag_duplicates(silver.valid[name], key, recency, _REJECTED)
+        path = f"{staging}/unique/{name}"
+        sinks.write_table(rows, path, partition_by=[_REJECTED])
+        stored = spark.read.schema(rows.schema).parquet(path)
+        silver.valid[name] = stored.where(~F.col(_REJECTED)).drop(_REJECTED)
+        repeated[name] = (
+            stored.where(_REJECTED)
+            .drop(_REJECTED)
+            .withColumn(REASON, F.lit(duplicates.DUPLICATE_KEY))
+        )
+    return repeated
+
+
 def stage_raw(
     spark: SparkSession, bronze: Mapping[str, DataFrame], staging: str
 ) -> dict[str, DataFrame]:
@@ -78,6 +96,7 @@ def run_pipeline(
     staging: str | None = None,
     gold_tables: list[str] | None = None,
     exact_width: bool = False,
+    unique_keys: bool = False,
     quality_score: bool = False,
     currencies: Sequence[str] | None = None,
     allow_local: bool = False,
@@ -87,7 +106,8 @@ def run_pipeline(
     ``staging`` defaults to a new folder in the session's ``spark.checkpoint.dir``;
     what is staged there stays, and ``Run.staging`` names it for the caller to remove.
     On a cluster a folder on a machine's own disk is refused unless ``allow_local``.
-    ``quality_score`` adds that column to the controls' input, ``currencies`` a check
+    ``unique_keys`` keeps the newest valid row of each key and writes the others under
+    ``duplicates`` as rejects, ``quality_score`` adds that column to the controls' input, ``currencies`` a check
     of the currency domain.
     """
     staging = staging or f"{sinks.shared_dir(spark)}/clearwell-{uuid4().hex}"
@@ -98,6 +118,11 @@ def run_pipeline(
     bronze = stage_raw(spark, bronze, staging)
     silver = stage_silver(spark, bronze, staging, exact_width)
     run.counts["rejects"] = sinks.write_rejects(silver.rejected, f"{output}/rejects")
+    if unique_keys:
+        repeated = keep_newest(spark, silver, staging)
+        run.counts["duplicates"] = sinks.write_rejects(
+            repeated, f"{output}/duplicates", payload="cleaned"
+        )
 
     run.counts["quality"] = sinks.write_tables(
         {

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from clearwell.operators import rejects, silver
+from clearwell.operators import duplicates, rejects, silver
 from clearwell.plans import quality
 from clearwell.plans.entities import CUSTOMERS, ENTITIES, ORDER_ITEMS, ORDERS
 
@@ -178,3 +178,15 @@ def test_currency_domain(spark):
     ).withColumn("total_amount", F.col("total_amount").cast("decimal(10,2)"))
     report = quality.quality_of(df, "orders", ["EUR"])
     assert {r.check_name: r.n_bad for r in report.collect()}["currency_outside_domain"] == 1
+
+
+def test_one_row_a_key(spark, tmp_path):
+    rows = [("a", 1, "x"), ("a", 3, "y"), ("a", 3, "y"), ("a", None, "z"), ("b", None, "x"), (None, 1, "x"), (None, 1, "x")]
+    rows += [("hot", i, "x") for i in range(300)]
+    spark.createDataFrame(rows, "k string, age int, v string").repartition(3).write.parquet(str(tmp_path / "t"))
+    tagged = duplicates.tag_duplicates(spark.read.parquet(str(tmp_path / "t")), ["k"], ["age"], "dup")
+    kept = sorted(tuple(r) for r in tagged.where("k IS NOT NULL AND NOT dup").drop("dup").collect())
+    assert kept == [("a", 3, "y"), ("b", None, "x"), ("hot", 299, "x")]
+    assert tagged.where("k IS NULL").where("dup").isEmpty() and tagged.count() == len(rows)
+    empty = spark.read.parquet(str(tmp_path / "t")).where("k = 'none'")
+    assert duplicates.tag_duplicates(empty, ["k", "v"], [], "dup").count() == 0

@@ -409,6 +409,20 @@ def test_a_report_that_fails_while_running_is_isolated(spark, tmp_path):
     assert status == {"a_bad": ("ERREUR", False), "b_good": ("OK", True)}
 
 
+def test_newest_rows_can_be_kept(spark, tmp_path):
+    out = str(tmp_path / "out")
+    run = pipeline.run_pipeline(
+        spark, bronze(spark, SF), out, str(tmp_path / "staging"), ["delivery_status"], unique_keys=True
+    )
+    con, sql = connect(SF), oracles.oracle_sql()
+    want = {r[0]: r[2] for r in con.execute(sql["duplicate_counts"]).fetchall()}
+    assert run.counts["duplicates"] == want and sum(want.values()) > 0
+    rejected = spark.read.parquet(f"{out}/duplicates/orders")
+    assert {r[0] for r in rejected.select("rejection_reason").distinct().collect()} <= {"DUPLICATE_KEY"}
+    controlled = spark.read.parquet(f"{out}/gold/delivery_status")
+    assert controlled.count() == controlled.select("order_id").distinct().count()
+
+
 def test_each_raw_source_is_read_once(spark, tmp_path):
     """Sources that refuse a second scan: the run still ends well."""
     reads = spark.sparkContext.accumulator(0)
