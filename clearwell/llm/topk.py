@@ -37,7 +37,7 @@ def nra_top_k(
     rows: np.ndarray,
     row_ids: np.ndarray,
     k: int,
-    depths: Sequence[float] = (1 / 16, 1 / 4),
+    depths: Sequence[float] = (1 / 2, 3 / 4),
     settle: int = 8,
 ) -> list[tuple[int, np.ndarray, np.ndarray]]:
     """For each query (position, row ids, scores) of the k best rows other than itself.

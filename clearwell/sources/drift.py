@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+import sys
 from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MISSING, UNEXPECTED, DIFFERS, MALFORMED = "missing", "unexpected", "type_differs", "malformed"
@@ -151,10 +153,8 @@ def document_drift(df: DataFrame, json_column: str, expected: T.StructType) -> D
     counted = df.select(df[json_column].cast("string").alias("doc")).mapInArrow(
         count, "field string, kind string, expected string, actual string, n long"
     )
-    return counted.groupBy("field", "kind", "expected", "actual").agg({"n": "sum"}).withColumnRenamed(
-        "sum(n)", "n_docs"
-    )
+    return counted.groupBy("field", "kind", "expected", "actual").agg(F.sum("n").alias("n_docs"))
 
 
-# Workers need no copy of this module.
-cloudpickle.register_pickle_by_value(__import__(__name__, fromlist=["_drift"]))
+# what runs in workers is shipped by value, so they need no copy of this module
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
