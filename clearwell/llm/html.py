@@ -38,11 +38,13 @@ BOILERPLATE = frozenset(
 #: Words in class, id or role that mark what is not the article.
 HINTS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies"
-    " consent gdpr notice notices alert menu nav navbar navigation sidebar comment comments reply replies"
+    " consent gdpr notice notices alert menu nav navbar navigation sidebar comment comments commentlist reply replies"
     " respond disqus share sharing social related recommended footer header masthead breadcrumb breadcrumbs"
     " newsletter subscribe subscription signup popup modal overlay widget widgets pagination pager toolbar"
-    " complementary contentinfo search login tags outbrain taboola teaser skip".split()
+    " complementary contentinfo search login tags outbrain taboola skip".split()
 )
+#: Beside these, "sidebar" tells of a page that has one and not of the bar itself.
+ABOUT_LAYOUT = frozenset("has no with without layout wrap wrapper content main page".split())
 #: What opening a tag closes, up to the element that holds the list or table.
 CLOSES = {
     "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu"])),
@@ -61,9 +63,12 @@ def _is_boilerplate(tag: str, attributes: str) -> bool:
     if "=" not in attributes:
         return False
     for m in _LABEL.finditer(attributes):
-        label = _CAMEL.sub(" ", m.group(1) or m.group(2) or m.group(3) or "").lower()
-        if not HINTS.isdisjoint(_PARTS.split(label)):
-            return True
+        label = _CAMEL.sub("-", m.group(1) or m.group(2) or m.group(3) or "").lower()
+        for name in label.split():
+            parts = set(_PARTS.split(name))
+            hints = parts & HINTS
+            if hints and not (hints == {"sidebar"} and parts & ABOUT_LAYOUT):
+                return True
     return False
 
 

@@ -23,6 +23,12 @@ def test_article_without_the_rest():
     ]
 
 
+def test_layout_words_do_not_hide_the_article():
+    page = '<div id="page" class="has-sidebar layoutWide"><div class="articleBody"><p>Long text, kept. Yes.</p></div>{}</div>'
+    aside = '<div class="sidebar"><p>Side text, dropped.</p></div><ol class="commentlist"><li>First!</ol>'
+    assert main_text(page.format(aside)) == "Long text, kept. Yes."
+
+
 def test_broken_and_empty_pages():
     for page in ("", " ", "<p", "<!-- never closed <p>x", "<script>x", "</p></div>", "<nav>only a menu</nav>"):
         assert main_text(page) == "", page
