@@ -73,7 +73,7 @@ def _check(headers: dict[str, str], block: bytes) -> str | None:
 class _Window:
     """Bytes of a stream from ``pos`` on, read as far as needed."""
 
-    def __init__(self, stream, step: int = 1 << 20) -> None:
+    def __init__(self, stream, step: int = 1 << 16) -> None:
         self.stream, self.step, self.buf, self.pos, self.ended = stream, step, b"", 0, False
 
     def more(self) -> bool:
