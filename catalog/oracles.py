@@ -1090,8 +1090,30 @@ def reports() -> dict[str, str]:
     }
 
 
+def sql_results() -> str:
+    texts = reports()
+    names = {
+        "01_sales_by_product": "report_sales_by_product",
+        "02_customer_orders": "report_customer_orders",
+        "03_orders_by_status": "report_orders_by_status",
+        "04_monthly_revenue": "report_monthly_revenue",
+        "05_top_customers": "report_top_customers",
+    }
+    return "\nUNION ALL ".join(
+        f"SELECT '{n}' AS report, 'OK' AS status, count(*) AS n_rows FROM ({texts[q]}\n)"
+        for n, q in names.items()
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     found = {f"scan_{e}": scan(e) for e in ALL}
+    found["source_csv_tables"] = scan("orders")
+    found["source_json_declared"] = scan("delivery_events")
+    found["source_json_inferred"] = found["source_documents"] = scan("reviews")
+    found["sink_rejects"] = reject_envelope()
+    found["sink_gold"] = table("sales_by_product")
+    found["sink_validation"] = validation()
+    found["sink_sql_results"] = sql_results()
     found["schema_drift_events"] = schema_drift()
     found |= normalisers()
     found |= {f"clean_{e}": clean(e) for e in ALL}

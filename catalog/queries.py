@@ -112,6 +112,90 @@ def schema_drift_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- files there and back ---------------------------------------------------------------
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="clearwell-")
+    return f"{base.rstrip('/')}/{name}-{uuid4().hex}"
+
+
+def source_csv_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw orders as a CSV file with header, read as text through the source loader."""
+    path = _folder(spark, "csv")
+    spark_table(spark, sf_dir, "orders").write.csv(
+        path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    source = readers.Source("csv", path, {"header": "true"}, ENTITIES["orders"].raw_schema)
+    return portable(readers.as_raw(readers.read_source(spark, source), "orders"))
+
+
+def source_json_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delivery events as JSON lines in nested folders, read with the declared schema."""
+    path = _folder(spark, "json")
+    spark_table(spark, sf_dir, "delivery_events").write.json(f"{path}/2026/03")
+    return portable(readers.read_delivery_events(spark, path, recursive=True))
+
+
+def source_json_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reviews as JSON lines with inferred types, brought back to declared text."""
+    path = _folder(spark, "json")
+    spark_table(spark, sf_dir, "reviews").write.json(path)
+    return portable(readers.as_raw(readers.read_json(spark, path), "reviews"))
+
+
+def source_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reviews through the connector reader, by format name and required options."""
+    path = _folder(spark, "documents")
+    spark_table(spark, sf_dir, "reviews").write.json(path)
+    options = {"path": path, "primitivesAsString": "true"}
+    documents = readers.read_documents(spark, "json", options, ["path"])
+    return portable(readers.as_raw(documents, "reviews"))
+
+
+def sink_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reject envelopes of all entities, written and read back."""
+    base = _folder(spark, "rejects")
+    tagged = tagged_tables(spark, sf_dir, keep_raw=True)
+    sinks.write_rejects({n: silver.rejected(df) for n, df in tagged.items()}, base)
+    parts = [
+        spark.read.parquet(f"{base}/{n}").select("source", "rejection_reason", "original_data")
+        for n in tagged
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def sink_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A business table, written and read back."""
+    base = _folder(spark, "gold")
+    built = gold.build_gold(valid_tables(spark, sf_dir), ["sales_by_product"])
+    sinks.write_tables(built, base)
+    return portable(spark.read.parquet(f"{base}/sales_by_product"))
+
+
+def sink_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The controls over the stored order table, written and read back."""
+    base = _folder(spark, "validation")
+    orders = gold.build_gold(valid_tables(spark, sf_dir), ["customer_order_360"])
+    sinks.write_tables(orders, base)
+    stored = spark.read.parquet(f"{base}/customer_order_360")
+    sinks.write_table(controls.validation_results(stored), f"{base}/results")
+    return spark.read.parquet(f"{base}/results")
+
+
+def sink_sql_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All reports written beside their status; the status read back."""
+    base = _folder(spark, "sql")
+    run = reports.run_reports(spark, reports.raw_views(bronze(spark, sf_dir)))
+    reports.write_reports(spark, run, base)
+    counts = [
+        spark.read.parquet(f"{base}/{n}").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("report"), "n_rows")
+        for n in reports.REPORTS
+    ]
+    status = spark.read.parquet(f"{base}/_status").select("report", "status")
+    return status.join(reduce(DataFrame.unionByName, counts), "report")
+
+
 # --- normalisers --------------------------------------------------------------------------
 
 
@@ -221,8 +305,7 @@ def _reject(entity: str) -> Query:
 
 
 def _staged(spark: SparkSession, name: str, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="clearwell-")
-    return sinks.stage_tables(tables, f"{folder.rstrip('/')}/{name}-{uuid4().hex}")
+    return sinks.stage_tables(tables, _folder(spark, name))
 
 
 def _without_duplicates(entity: str) -> Query:
@@ -322,6 +405,11 @@ def _report(name: str) -> Query:
 
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {f"scan_{e}": _scan(e) for e in TABLES}
+    for query in (
+        source_csv_tables, source_json_declared, source_json_inferred, source_documents,
+        sink_rejects, sink_gold, sink_validation, sink_sql_results,
+    ):
+        found[query.__name__] = query
     found["schema_drift_events"] = schema_drift_events
     found |= NORMALISERS
     found |= {f"clean_{e}": _clean(e) for e in TABLES}
