@@ -124,9 +124,14 @@ def source_csv_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw orders as a CSV file with header, read as text through the source loader."""
     path = _folder(spark, "csv")
     spark_table(spark, sf_dir, "orders").write.csv(
-        path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        path,
+        header=True,
+        nullValue="\\N",
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
     )
-    source = readers.Source("csv", path, {"header": "true"}, ENTITIES["orders"].raw_schema)
+    options = {"header": "true", "nullValue": "\\N"}
+    source = readers.Source("csv", path, options, ENTITIES["orders"].raw_schema)
     return portable(readers.as_raw(readers.read_source(spark, source), "orders"))
 
 
