@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -125,6 +125,10 @@ class PassageIndex:
             (np.concatenate(places) if places else np.zeros(0, np.int64))[order].astype(np.int64), short,
         )
 
+    def parts(self) -> tuple:
+        """The fields: plain values, so that workers can read a broadcast without this package."""
+        return tuple(getattr(self, f.name) for f in fields(self))
+
     def finder(self) -> Finder:
         return Finder(self)
 
@@ -272,10 +276,10 @@ def find_passages(
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     found = None
     for index in passage_parts(benchmark, item_col, item_text_col, q, edit_share, index_chars):
-        shared = spark.sparkContext.broadcast(index)
+        shared = spark.sparkContext.broadcast(index.parts())
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            finder = shared.value.finder()
+            finder = PassageIndex(*shared.value).finder()
             for batch in batches:
                 out = []
                 for doc, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -309,10 +313,10 @@ def drop_contaminated(
     """The rows whose text holds no benchmark passage (as `find_passages` finds them)."""
     at = docs.columns.index(text_col)
     for index in passage_parts(benchmark, item_col, item_text_col, q, edit_share, index_chars):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+        shared = docs.sparkSession.sparkContext.broadcast(index.parts())
 
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            finder = shared.value.finder()
+            finder = PassageIndex(*shared.value).finder()
             for batch in batches:
                 keep = [not finder.find(t) for t in batch.column(at).to_pylist()]
                 yield batch.filter(pa.array(keep, pa.bool_()))
