@@ -237,6 +237,7 @@ def jaccard_classes(
                 band ^= band >> np.uint64(31)
                 band = band * np.uint64(0x94D049BB133111EB) + np.arange(bands, dtype=np.uint64) * PRIME
                 keys.append(band.view(np.int64))
+                # two bytes a value: unequal values agree once in 65,536, which only spares a pair
                 values.append(least.astype(np.uint16).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").cast(kind), pa.array(digests, pa.string()), pa.array(keys, pa.list_(pa.int64())), pa.array(values, pa.binary())],
