@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import tempfile
 import types
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +43,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in short slices, so that few whole texts are Python objects at a time.
+
+    When the task's rows end, what its worker has freed goes back to the machine.
+    """
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def per_worker(kind: str, key: str, make: Callable[[], Any]) -> Any:
     """One object of a kind in a Python worker, kept from task to task while the key stays."""
     name = "clearwell_worker_objects"

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from clearwell.llm.common import slices
+
 BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 FILTER_BITS = 22
@@ -280,7 +282,7 @@ def find_passages(
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             finder = PassageIndex(*shared.value).finder()
-            for batch in batches:
+            for batch in slices(batches):
                 out = []
                 for doc, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                     out.extend((doc, finder.index.ids[k], s, e, d) for k, s, e, d in finder.find(text))
@@ -317,7 +319,7 @@ def drop_contaminated(
 
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             finder = PassageIndex(*shared.value).finder()
-            for batch in batches:
+            for batch in slices(batches):
                 keep = [not finder.find(t) for t in batch.column(at).to_pylist()]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 

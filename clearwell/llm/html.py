@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from clearwell.llm.common import slices
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|template|noscript|iframe|object|svg|math|textarea|title)\b[^>]*+>.*?(?:</\1\s*>|\Z)"
@@ -230,7 +232,7 @@ def extract_main_text(
     kinds = [to_arrow_type(pages.schema[c].dataType) for c in (id_col, url_col)]
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [main_text(h) if h else "" for h in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from clearwell.llm.common import connected_components, written
+from clearwell.llm.common import connected_components, slices, written
 
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 PAIRS_AT_ONCE = 1 << 18
@@ -122,7 +122,7 @@ def spanning(size: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 def _groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
     """Rows sorted by the keys as tables of whole groups, many small groups together."""
     held: list[pa.RecordBatch] = []
-    for batch in batches:
+    for batch in slices(batches, 1 << 14):
         if not batch.num_rows:
             continue
         held.append(batch)
@@ -224,7 +224,7 @@ def jaccard_classes(
         family = hash_family(hashes)
         weave = np.array([0xBF58476D1CE4E5B9 * (i + 1) | 1 for i in range(rows_per_band)], dtype=object)
         weave = np.array([int(w) & (2**64 - 1) for w in weave], dtype=np.uint64)
-        for batch in batches:
+        for batch in slices(batches):
             digests, keys, values = [], [], []
             for text in batch.column("text").to_pylist():
                 grams = shingles(text, words)
@@ -336,7 +336,7 @@ def _verified(rows, id_name, kind, words, hashes, threshold, tolerance, block_ro
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = hash_family(hashes)
-        for batch in batches:
+        for batch in slices(batches):
             values, grams, same = [], [], []
             for text, digest in zip(batch.column("text").to_pylist(), batch.column("digest").to_pylist(), strict=True):
                 own = shingles(text, words)

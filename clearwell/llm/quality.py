@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clearwell.llm.common import fold, free_name, labelled_sample, written
+from clearwell.llm.common import fold, free_name, labelled_sample, slices, written
 
 FEATURES = (
     "symbols", "bangs", "bars", "capitals", "digits", "periods", "markup", "other_bytes", "repeats",
@@ -79,7 +79,7 @@ def with_features(docs: DataFrame, text_col: str, name: str) -> DataFrame:
     at = docs.columns.index(text_col)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = [features(t) for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(rows, pa.list_(pa.float32()))], [*batch.schema.names, name]

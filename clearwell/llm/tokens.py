@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from clearwell.llm.common import per_worker, written
+from clearwell.llm.common import per_worker, slices, written
 
 #: How byte-level BPE files split text before merging (a fixed value of those tokenizers).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -113,7 +113,7 @@ def count_tokens(
 
     def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(tokenizer)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             whole = [len(t) <= chunk_chars for t in texts]
             counts = [counter.count(t) if w else None for t, w in zip(texts, whole, strict=True)]
@@ -156,7 +156,7 @@ def _spliced(rows: DataFrame, tokenizer, chunk: int, overlap: int) -> DataFrame:
     """``row``, ``n_tokens``, ``aligned`` of long texts by chunks with common boundaries."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for row, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 # a tail that the chunk before covers whole needs no chunk of its own
                 starts = range(0, max(1, len(text) - overlap), chunk)
@@ -169,7 +169,7 @@ def _spliced(rows: DataFrame, tokenizer, chunk: int, overlap: int) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(tokenizer)
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for r in batch.to_pylist():
                 text, shift = r["text"], r["k"] * chunk

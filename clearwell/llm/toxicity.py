@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clearwell.llm.common import fold, free_name, labelled_sample, sampled_texts, written
+from clearwell.llm.common import fold, free_name, labelled_sample, sampled_texts, slices, written
 
 WORD = re.compile(r"[^\W_](?:[\w*@$!'’-]*[^\W_])?")
 #: Characters often put for letters.
@@ -229,7 +229,7 @@ def learn_lexicon(
     """
 
     def minima(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             a, b, words = [], [], []
             for text in batch.column("text").to_pylist():
                 seen = WORD.findall((text or "").lower())
@@ -323,7 +323,7 @@ def fit_toxicity(
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = FuzzyLexicon(terms)
-        for batch in batches:
+        for batch in slices(batches):
             x = [context_features(t, automaton, weights) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("sample_id"), batch.column("label"), pa.array(x, pa.list_(pa.float64()))], ["sample_id", "label", "x"]
@@ -370,7 +370,7 @@ def score_toxicity(
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = model.scorer()
-        for batch in batches:
+        for batch in slices(batches):
             values = [score(t) for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(values, pa.float64())], [*batch.schema.names, raw]

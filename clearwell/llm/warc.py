@@ -13,7 +13,7 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearwell.llm.common import fresh_path, written
+from clearwell.llm.common import fresh_path, slices, written
 
 RECORD_SCHEMA = (
     "path string, start long, length long, kind string, warc_type string, record_id string,"
@@ -191,7 +191,7 @@ def write_warc(
         where, base = _open(folder)
         where.create_dir(base, recursive=True)
         out, name, size, count, done = None, "", 0, 0, []
-        for batch in batches:
+        for batch in slices(batches):
             for r in batch.to_pylist():
                 if out is None:
                     name, size, count = f"part-{uuid.uuid4().hex}.warc.gz", 0, 0
@@ -251,7 +251,7 @@ def read_warc(files: DataFrame, keep_payload: bool = True) -> DataFrame:
             ]
         )
         held, weight = [], 0
-        for batch in batches:
+        for batch in slices(batches):
             for path in batch.column("path").to_pylist():
                 where, inner = _open(path)
                 with where.open_input_stream(inner, compression=None) as stream:
