@@ -115,13 +115,14 @@ def mix_sources(
 
     1. Sources get targets (`source_targets`) and, as a whole, blocks of about
        ``block_words`` words by highest quotients (`sainte_lague`).
-    2. A source's documents are dealt by seeded hash over shards of about
-       ``shard_words`` words and cut there, in seeded order, into blocks of equal
-       length.  Each shard's integer quota is its blocks at the source's divisor,
-       floor(seats per block * blocks + 1/2), so shards need not meet.
-    3. A shard takes each block quota / blocks times, rounded down; the rest of its
-       quota goes to blocks at equal steps from a seeded start.  Counting the words
-       before a position is then arithmetic, and no block becomes a row.
+    2. A source's documents stand in one line: dealt by seeded hash over shards of about
+       ``shard_words`` words, in seeded order inside a shard.  The line is cut into
+       blocks of equal length; the source's quota is its seats, floor(seats per block *
+       blocks + 1/2), so it lies within half a block of them however many the shards.
+    3. Each block is taken quota / blocks times, rounded down; the rest of the quota
+       goes to blocks at equal steps from a seeded start.  Counting the words before a
+       position is then arithmetic, and no block becomes a row.  Shards only share out
+       the running sum: the words before a shard come from one small row a shard.
 
     No block is taken more than ``most`` times, nor is a document.  Results depend on
     ids, sizes and the seed alone.  A null text or one without words has size 0 and
@@ -147,34 +148,34 @@ def mix_sources(
     ).withColumn("_unit", total / F.col("_blocks"))
     seats = sainte_lague(house, F.col("_blocks"), "_key", "target")
     words = F.coalesce(F.col("seats") * F.col("_unit") / F.col("source_size"), F.lit(0.0))
+    block = F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(F.col("source_size") / 16)))
     plan = house.join(seats, "_key", "left").select(
         "_key",
         "source_size",
         "target",
         F.least(F.lit(float(most)), words).alias("_rate"),
         F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long").alias("_shards"),
+        F.greatest(F.lit(1), F.ceil(F.col("source_size") / block)).cast("long").alias("_n"),
+    )
+    quota = F.least(F.floor(F.col("_rate") * F.col("_n") + 0.5), most * F.col("_n")).cast("long")
+    plan = (
+        plan.withColumn("_quota", quota)
+        .withColumn("_each", _div(F.col("_quota"), F.col("_n")))
+        .withColumn("_more", F.col("_quota") - F.col("_each") * F.col("_n"))
+        .withColumn("_start", F.pmod(F.xxhash64(F.lit(seed + 2), "_key"), "_n"))
     )
     dealt = (
         sizes.join(plan, "_key")
         .withColumn("_hash", F.xxhash64(F.lit(seed), "_id"))
         .withColumn("_shard", F.pmod(F.xxhash64(F.lit(seed + 1), "_id"), "_shards"))
     )
-    shard = Window.partitionBy("_key", "_shard")
-    stream = shard.orderBy("_hash", "_id", "_size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = _words_before(written(dealt.groupBy("_key", "_shard").agg(F.sum("_size").alias("_words")), "mix-shards"))
+    stream = Window.partitionBy("_key", "_shard").orderBy("_hash", "_id", "_size")
+    stream = stream.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = (
         dealt.withColumn("_end", F.sum("_size").over(stream))
-        .withColumn("_all", F.sum("_size").over(shard))
-        .withColumn(
-            "_len", F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(F.col("_all") / 16)))
-        )
-        .withColumn("_n", F.greatest(F.lit(1), F.ceil(F.col("_all") / F.col("_len"))))
-        .withColumn(
-            "_quota",
-            F.least(F.floor(F.col("_rate") * F.col("_all") / F.col("_len") + 0.5), most * F.col("_n")),
-        )
-        .withColumn("_each", F.floor(F.col("_quota") / F.col("_n")))
-        .withColumn("_more", F.col("_quota") - F.col("_each") * F.col("_n"))
-        .withColumn("_start", F.pmod(F.xxhash64(F.lit(seed + 2), "_key", "_shard"), "_n"))
+        .join(before, ["_key", "_shard"])
+        .withColumn("_end", F.col("_before") + F.col("_end"))
     )
     taken = _taken_before(F.col("_end")) - _taken_before(F.col("_end") - F.col("_size"))
     return placed.select(
@@ -187,18 +188,43 @@ def mix_sources(
     )
 
 
+def _div(a: Column, b: Column) -> Column:
+    return F.call_function("div", a, b)
+
+
+def _words_before(shards: DataFrame, together: int = 4_096) -> DataFrame:
+    """The words of a source before each of its shards: ``_key``, ``_shard``, ``_before``.
+
+    Running sums over ``together`` shards and over the sums of those, so that no task
+    holds all shards of a large source.
+    """
+    parts = shards.withColumn("_part", _div(F.col("_shard"), F.lit(together).cast("long")))
+    start = (Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_key", "_part").orderBy("_shard").rowsBetween(*start)
+    over = Window.partitionBy("_key").orderBy("_part").rowsBetween(*start)
+    bases = (
+        parts.groupBy("_key", "_part")
+        .agg(F.sum("_words").alias("_words"))
+        .select("_key", "_part", F.coalesce(F.sum("_words").over(over), F.lit(0)).alias("_base"))
+    )
+    own = parts.withColumn("_own", F.coalesce(F.sum("_words").over(inside), F.lit(0)))
+    return own.join(bases, ["_key", "_part"]).select(
+        "_key", "_shard", (F.col("_base") + F.col("_own")).alias("_before")
+    )
+
+
 def _taken_before(x: Column) -> Column:
-    """Words taken among the first x words of a shard."""
+    """Words taken among the first x words of a source's line."""
+    # products of words and blocks go beyond a long
+    n, more, start, size = (F.col(c).cast("decimal(20,0)") for c in ("_n", "_more", "_start", "source_size"))
 
     def extra(block: Column) -> Column:
         # blocks taken once more among the first ``block``
-        steps = F.floor((block + F.col("_start")) * F.col("_more") / F.col("_n"))
-        return steps - F.floor(F.col("_start") * F.col("_more") / F.col("_n"))
-
-    block = F.floor(x / F.col("_len"))
-    inside = x - block * F.col("_len")
-    return (
-        F.col("_each") * x
-        + extra(block) * F.col("_len")
-        + inside * (extra(block + 1) - extra(block))
-    )
+        return _div((block.cast("decimal(20,0)") + start) * more, n) - _div(start * more, n)
+
+    words = x.cast("decimal(20,0)") * n
+    block = F.coalesce(_div(words, F.nullif(size, F.lit(0))), F.lit(0))
+    inside = words - block.cast("decimal(20,0)") * size
+    # in n-ths of a word, since blocks need not end at whole words; then to the nearest word
+    part = extra(block).cast("decimal(20,0)") * size + inside * (extra(block + 1) - extra(block)).cast("decimal(20,0)")
+    return F.col("_each") * x + _div(part * 2 + n, n * 2)

@@ -76,6 +76,16 @@ def test_tiny_hot_and_capped_sources(spark):
     check(rows, mix_sources(df).collect())
 
 
+def test_hot_source_among_many(spark):
+    rng = random.Random(11)
+    rows = [(i, "w " * rng.randint(1, 900), "hot") for i in range(1_400)]
+    rows += [(10_000 + i, "w " * rng.randint(400, 800), f"s{i:04}") for i in range(2_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    got = mix_sources(df).collect()
+    check(rows, got)
+    assert sum(r["taken"] for r in got if r["source"] == "hot") > 0
+
+
 def test_awkward_rows(spark, docs, no_docs):
     got = mix_sources(docs).collect()
     assert len(got) == docs.count()
