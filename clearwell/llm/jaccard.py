@@ -9,7 +9,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -251,23 +251,30 @@ def jaccard_classes(
     sets = written(
         with_set.groupBy("digest").agg(F.min("id").alias("node"), F.count_distinct("id").alias("copies")), "jaccard-sets"
     )
-    reps = with_set.join(sets.select("digest", F.col("node").alias("id"), "copies"), ["digest", "id"])
-    reps = reps.select(F.col("id").alias("node"), "bands", "values")
-    keyed = reps.select("node", F.explode("bands").alias("band"))
+    # rows that repeat an id and a set fold to one; an id with several sets keeps them all
+    folded = with_set.groupBy("digest", F.col("id").alias("node")).agg(
+        F.first("bands").alias("bands"), F.first("values").alias("values")
+    )
+    reps = written(
+        folded.join(sets.select("digest", "node"), ["digest", "node"]).select("node", _set_key(), "bands", "values"),
+        "jaccard-reps",
+    )
+    keyed = reps.select("node", "set", F.explode("bands").alias("band"))
     buckets = keyed.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     members = written(keyed.join(buckets, "band"), "jaccard-buckets")
     forest = written(
-        _bucket_forest(members.join(reps.select("node", "values"), "node"), id_name, kind, hashes, threshold, tolerance, block_rows),
+        _bucket_forest(members.join(reps.select("node", "set", "values"), ["node", "set"]), id_name, kind, hashes, threshold, tolerance, block_rows),
         "jaccard-forest",
     )
     near = connected_components(forest)
-    components = near.groupBy("component").agg(F.count("*").alias("size"))
-    candidates = written(near.join(components, "component"), "jaccard-candidates")
+    # a table whose size Spark knows, so that texts are not shuffled while it is small
+    named = written(near.select("node"), "jaccard-near")
+    members = near.join(sets.select("node", "copies", "digest"), "node")
+    components = members.groupBy("component").agg(F.count("*").alias("size"))
+    candidates = written(members.join(components, "component"), "jaccard-candidates")
     verified = written(
         _verified(
-            candidates.join(rows.withColumnRenamed("id", "node"), "node").join(
-                sets.select("node", "copies", "digest"), "node"
-            ),
+            rows.withColumnRenamed("id", "node").join(named, "node"), candidates,
             id_name, kind, words, hashes, threshold, tolerance, block_rows,
         ),
         "jaccard-verified",
@@ -296,6 +303,11 @@ def jaccard_classes(
     )
 
 
+def _set_key() -> Column:
+    """A set's number among those of one id; a clash would only add rows."""
+    return F.xxhash64("digest").alias("set")
+
+
 def _sorted_groups(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys)
 
@@ -320,7 +332,7 @@ def _bucket_forest(members, id_name, kind, hashes, threshold, tolerance, block_r
                 [_taken(nodes, child, kind), _taken(nodes, label[child], kind)], ["node", "root"]
             )
 
-    dealt = block_pairs(members, "band", "size", block_rows).select("band", "b1", "b2", "block", "node", "values")
+    dealt = block_pairs(members, "band", "size", block_rows, "set").select("band", "b1", "b2", "block", "node", "values")
     edges = _sorted_groups(dealt, ["band", "b1", "b2"]).mapInArrow(prune, f"node {id_name}, root {id_name}")
     return edges.distinct()
 
@@ -331,24 +343,29 @@ def _taken(nodes, at: np.ndarray, kind) -> pa.Array:
     return out.cast(kind)
 
 
-def _verified(rows, id_name, kind, words, hashes, threshold, tolerance, block_rows) -> DataFrame:
+def _verified(rows, candidates, id_name, kind, words, hashes, threshold, tolerance, block_rows) -> DataFrame:
     """``node``, ``links`` (documents), ``root`` (a linked node, or null) after exact verification."""
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = hash_family(hashes)
+        seen: set[tuple] = set()  # of this task's rows
         for batch in slices(batches):
-            values, grams, same = [], [], []
-            for text, digest in zip(batch.column("text").to_pylist(), batch.column("digest").to_pylist(), strict=True):
+            digests, values, grams = [], [], []
+            for node, text in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 own = shingles(text, words)
-                # an id may repeat with another text, which is not this representative
-                same.append(len(own) > 0 and hashlib.blake2b(own.tobytes(), digest_size=16).hexdigest() == digest)
-                values.append(min_hashes(own, family).astype(np.uint16).tobytes() if same[-1] else None)
-                grams.append(own.tobytes() if same[-1] else None)
+                digest = hashlib.blake2b(own.tobytes(), digest_size=16)
+                if not len(own) or (node, digest.digest()) in seen:
+                    digests.append(None), values.append(None), grams.append(None)
+                    continue
+                seen.add((node, digest.digest()))
+                digests.append(digest.hexdigest())
+                values.append(min_hashes(own, family).astype(np.uint16).tobytes())
+                grams.append(own.tobytes())
             out = pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in kept] + [pa.array(values, pa.binary()), pa.array(grams, pa.binary())],
-                [*kept, "values", "grams"],
+                [batch.column("node").cast(kind), pa.array(digests, pa.string()), pa.array(values, pa.binary()), pa.array(grams, pa.binary())],
+                ["node", "digest", "values", "grams"],
             )
-            yield out.filter(pa.array(same, pa.bool_()))
+            yield out.filter(out.column("digest").is_valid())
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pruner = Pruner(hashes, threshold, tolerance)
@@ -385,12 +402,14 @@ def _verified(rows, id_name, kind, words, hashes, threshold, tolerance, block_ro
                 ["node", "links", "root"],
             )
 
-    kept = ["component", "size", "node", "copies"]
     keys = ["component", "b1", "b2"]
-    measured = rows.select(*kept, "text", "digest").mapInArrow(
-        sets_of, f"component {id_name}, size long, node {id_name}, copies long, values binary, grams binary"
+    measured = rows.select("node", "text").mapInArrow(
+        sets_of, f"node {id_name}, digest string, values binary, grams binary"
     )
-    dealt = block_pairs(measured, "component", "size", block_rows)
+    # an id may repeat with a text that it does not represent, and with one that it does
+    folded = measured.groupBy("node", "digest").agg(F.first("values").alias("values"), F.first("grams").alias("grams"))
+    own = folded.join(candidates, ["node", "digest"]).withColumn("set", _set_key())
+    dealt = block_pairs(own, "component", "size", block_rows, "set")
     dealt = dealt.select("component", "b1", "b2", "block", "node", "copies", "values", "grams")
     return _sorted_groups(dealt, keys).mapInArrow(verify, f"node {id_name}, links long, root {id_name}")
 

@@ -60,6 +60,24 @@ def test_awkward_rows(spark, docs, no_docs):
     assert jaccard_classes(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("block_rows", [4, 1024])
+@pytest.mark.parametrize("repeats", [3, 4_000])
+def test_repeated_rows_beside_near_copies(spark, repeats, block_rows):
+    rng = random.Random(8)
+    base, other = prose(rng, 100), prose(rng, 100)
+    rows = [(1, base)] + [(2 + i, altered(rng, base, rng.randint(0, 3))) for i in range(20)]
+    want = brute(rows)
+    assert want[1][1] > 0
+    rows += [(1, base)] * repeats + [(1, f" {base.upper()}")] * repeats
+    # many texts of one id are one document
+    rows += [(99, altered(rng, other, 2)) for _ in range(min(repeats, 500))]
+    want[99] = (99, 0)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = jaccard_classes(df, block_rows=block_rows).collect()
+    assert len(got) == len(rows)
+    assert {(r["doc_id"], r["class_id"], r["n_links"]) for r in got} == {(i, *w) for i, w in want.items()}
+
+
 def test_pruning_keeps_what_may_be_similar():
     steps = [16, 32, 96]
     for n, least in zip(steps, least_matches(0.8, 1e-5, steps), strict=True):
