@@ -41,30 +41,79 @@ def rule_for(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return fitting
 
 
+def unescaped(text: Column) -> Column:
+    """Numeric character references and the five named ones of markup, decoded once; others stay."""
+    named = F.create_map(*[F.lit(x) for pair in zip(("amp", "lt", "gt", "quot", "apos"), "&<>\"'") for x in pair])
+    reference = r"&(?:#[xX]0*[0-9a-fA-F]{1,6}|#0*[0-9]{1,7}|amp|lt|gt|quot|apos);"
+
+    def decoded(piece: Column) -> Column:
+        hexadecimal = F.nullif(F.regexp_extract(piece, r"^&#[xX]0*([0-9a-fA-F]+);$", 1), F.lit(""))
+        decimal = F.nullif(F.regexp_extract(piece, r"^&#0*([0-9]+);$", 1), F.lit(""))
+        code = F.coalesce(F.conv(hexadecimal, 16, 10), decimal).cast("long")
+        fit = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        # four bytes a character
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(fit, code)), 8, "0")), "UTF-32")
+        return F.coalesce(char, F.try_element_at(named, F.regexp_extract(piece, "^&([a-z]+);$", 1)), piece)
+
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s)({reference}|[^&]+|&)"), F.lit(1))
+    return F.when(text.contains("&"), F.array_join(F.transform(pieces, decoded), "")).otherwise(text)
+
+
+def without_dots(path: Column) -> Column:
+    """A path from ``/`` on with its segments ``.`` and ``..`` folded."""
+    steps = F.split(F.concat(path, F.when(path.rlike(r"/\.\.?$"), "/").otherwise("")), "/", -1)
+
+    def fold(done: Column, step: Column) -> Column:
+        return (
+            F.when(step == ".", done)
+            .when(step == "..", F.slice(done, 1, F.greatest(F.lit(1), F.size(done) - 1)))
+            .otherwise(F.concat(done, F.array(step)))
+        )
+
+    # the first is the empty one before the leading slash, which stays
+    folded = F.aggregate(F.slice(steps, 2, F.size(steps)), F.array(F.lit("")), fold)
+    return F.when(path.contains("/."), F.array_join(folded, "/")).otherwise(path)
+
+
 def html_links(html: Column, url: Column) -> Column:
-    """Targets of canonical links and immediate refreshes in a page, made absolute."""
+    """Targets of canonical links and immediate refreshes in a page, made absolute.
+
+    Character references are decoded.  Targets relative to the page's path or query are
+    resolved against its url, and dots in relative paths are folded; a target that
+    is only a fragment, or of a scheme without ``//``, is none.
+    """
     text = F.coalesce(html, F.lit(""))
     quoted = r"""["']?([^"'\s>]+)"""
     tags = F.regexp_extract_all(text, F.lit(r"(?is)(<(?:link|meta)\b[^>]*>)"), F.lit(1))
+    # canonical among the words of rel
+    rel = r"""(?is)^<link\b.*(?<![\w-])rel\s*=\s*(?:"(?:[^"]*\s)?canonical[\s"]|'(?:[^']*\s)?canonical[\s']|canonical[\s/>])"""
     canonical = F.transform(
-        F.filter(tags, lambda t: t.rlike(r"""(?is)^<link\b.*\brel\s*=\s*["']?canonical\b""")),
+        F.filter(tags, lambda t: t.rlike(rel)),
         lambda t: F.regexp_extract(t, r"(?is)\bhref\s*=\s*" + quoted, 1),
     )
     refresh = F.transform(
         F.filter(tags, lambda t: t.rlike(r"""(?is)^<meta\b.*\bhttp-equiv\s*=\s*["']?refresh\b""")),
-        lambda t: F.regexp_extract(t, r"(?is)\burl\s*=\s*['\"]?([^\"'\s>;]+)", 1),
+        lambda t: F.regexp_extract(t, r"(?is)\burl\s*=\s*['\"]?((?:&#?\w+;|[^\"'\s>;])+)", 1),
     )
     scheme = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^(.*?)://", 1)
     root = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^(.*?://[^/?#]*)", 1)
+    page = F.coalesce(url_path(url), F.lit(""))
+    folder = F.coalesce(F.nullif(F.regexp_extract(page, r"(?s)^(.*/)", 1), F.lit("")), F.lit("/"))
 
-    def absolute(target: Column) -> Column:
+    def resolved(target: Column) -> Column:
+        path = F.regexp_extract(target, r"(?s)^([^?#]*)", 1)
+        rest = F.regexp_extract(target, r"(?s)^[^?#]*(.*)$", 1)
         return (
-            F.when(target.contains("://"), target)
+            F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+            .when((target == "") | (root == "") | target.startswith("#"), None)
             .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
-            .when(target.startswith("/"), F.concat(root, target))
+            .when(target.startswith("/"), F.concat(root, without_dots(path), rest))
+            .when(target.startswith("?"), F.concat(root, page, target))
+            .when(~target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.concat(root, without_dots(F.concat(folder, path)), rest))
         )
 
-    found = F.transform(F.concat(canonical, refresh), absolute)
+    targets = F.transform(F.concat(canonical, refresh), unescaped)
+    found = F.transform(targets, resolved)
     return F.filter(found, lambda t: t.isNotNull() & (t != ""))
 
 

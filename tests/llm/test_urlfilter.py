@@ -84,6 +84,34 @@ def test_rules_aliases_and_awkward_rows(spark):
     assert judge_urls(df.limit(0), URL_RULES).count() == 0
 
 
+def test_every_spelling_of_a_target(spark):
+    blocked = '<link rel="canonical" href="http://example.com/en/s">'
+    alias = {  # page, its link, the address of the page that a blocked address names canonical
+        1: ("http://a1.org/d/a.html", '<meta http-equiv="refresh" content="0; url=next.html">', "http://a1.org/d/next.html"),
+        2: ("http://a2.org/d/e/a", "<link rel=canonical href=../x>", "http://a2.org/d/x"),
+        3: ("http://a3.org/p?q", '<meta http-equiv=refresh content="0;url=?p=1">', "http://a3.org/p?p=1"),
+        4: ("http://a4.org/a", "<link rel='canonical' href='http://a4.org/x?a=1&amp;b=2'>", "http://a4.org/x?a=1&b=2"),
+        5: ("http://a5.org/a", '<meta http-equiv="refresh" content="0;url=/x?a=1&amp;b=2">', "http://a5.org/x?a=1&b=2"),
+        6: ("http://a6.org/a", '<link rel="canonical" href="b&#x2F;&#228;&#47;&#x1F600;&amp;lt;">', "http://a6.org/b/\u00e4/\U0001f600&lt;"),
+        7: ("http://a7.org/a", "<link rel='nofollow canonical' href='/x'>", "http://a7.org/x"),
+        8: ("http://a8.org", '<link href="./b/../../c/." rel="canonical nofollow">', "http://a8.org/c/"),
+        9: ("http://a9.org/a", "<link rel=canonical href=/go?u=http://fine.com/>", "http://a9.org/go?u=http://fine.com/"),
+    }
+    none = {
+        31: ("http://b1.org/", "<link rel=canonical href=mailto:x@example.com>"),
+        32: ("http://b2.org/", "<link rel=canonical href=#top>"),
+        33: ("http://b3.org/", "<link rel=canonical href=/go?u=http://example.com/en/s>"),
+        34: ("http://b4.org/", "<link rel=not-canonical href=http://example.com/en/s>"),
+        35: ("http://b5.org/", "<link rel=canonical href=&#xD800;&#9999999;&#0;&nbsp;>"),
+        36: ("no url", "<link rel=canonical href=x>"),
+    }
+    rows = [(i, url, html) for i, (url, html, _) in alias.items()] + [(i, *row) for i, row in none.items()]
+    rows += [(100 + i, to, blocked) for i, (_, _, to) in alias.items()]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in judge_urls(df, URL_RULES).collect()}
+    assert got == {i: "allow" if i in none else "block" for i, _, _ in rows}
+
+
 def test_given_edges(spark):
     pages = spark.createDataFrame([(1, "http://a.org/"), (2, "http://b.org/")], "page_id long, url string")
     edges = spark.createDataFrame([("http://a.org/", "http://z.net/es/"), (None, "x")], "a string, b string")
