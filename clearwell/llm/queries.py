@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clearwell.llm.common import table
 from clearwell.llm.decontaminate import find_passages
@@ -12,6 +13,7 @@ from clearwell.llm.html import extract_main_text
 from clearwell.llm.jaccard import jaccard_classes
 from clearwell.llm.mixing import mix_sources
 from clearwell.llm.quality import score_quality
+from clearwell.llm.secretscan import scan_secrets
 from clearwell.llm.tokens import count_tokens
 from clearwell.llm.topk import top_k_inner_products
 from clearwell.llm.toxicity import fit_toxicity, score_toxicity
@@ -73,6 +75,25 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).drop("source")
 
 
+def _listed(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+
+
+def _count_of(kind: str) -> Column:
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id",
+        *[_count_of(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(_listed(base), 256).alias("base_sha256"),
+        _listed(F.col("spans")).alias("spans"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_top_k": op1_top_k,
@@ -85,6 +106,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_jaccard_join": op8_jaccard_join,
         "op9_html_text": op9_html_text,
         "op10_mix_sources": op10_mix_sources,
+        "op13_secret_scan": op13_secret_scan,
     }
 
 
