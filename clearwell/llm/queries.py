@@ -11,8 +11,9 @@ from clearwell.llm.common import table
 from clearwell.llm.decontaminate import find_passages
 from clearwell.llm.html import extract_main_text
 from clearwell.llm.jaccard import jaccard_classes
-from clearwell.llm.mixing import mix_sources
+from clearwell.llm.mixing import WORD, mix_sources
 from clearwell.llm.quality import score_quality
+from clearwell.llm.runs import find_runs
 from clearwell.llm.secretscan import scan_secrets
 from clearwell.llm.tokens import count_tokens
 from clearwell.llm.topk import top_k_inner_products
@@ -75,6 +76,49 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).drop("source")
 
 
+def _with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text``: of each tenth document, by hash, the words from one on repeat a block."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    chosen = docs.where((h % 10 == 0) & (F.size(words) > 0)).select("doc_id", words.alias("w"))
+    sized = (
+        chosen.withColumn("n", F.size("w").cast("long"))
+        .withColumn("g", F.floor(h / 10))
+        .withColumn("a", F.col("g") % F.col("n"))
+        .withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    )
+    rest, p = F.col("n") - F.col("a"), F.col("p")
+    block = F.slice("w", (F.col("a") + 1).cast("int"), p.cast("int"))
+    whole = F.flatten(F.array_repeat(block, F.floor(rest / p).cast("int")))
+    tail = F.slice("w", (F.col("a") + 1).cast("int"), (rest % p).cast("int"))
+    head = F.slice("w", F.lit(1), F.col("a").cast("int"))
+    changed = sized.select("doc_id", F.array_join(F.concat(head, whole, tail), " ").alias("text"))
+    same = docs.where(~F.coalesce((h % 10 == 0) & (F.size(words) > 0), F.lit(False))).select("doc_id", "text")
+    return same.unionByName(changed)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_runs(_with_periodic_tails(table(spark, sf_dir, "documents")))
+    kind = found.schema["runs"].dataType.elementType
+    # runs stand by start, then period, so the first of equal exponents is the one wanted
+    best = F.aggregate(
+        "runs",
+        F.lit(None).cast(kind),
+        lambda b, r: F.when(b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b),
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.call_function("div", F.col("best.length") * 1000, F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
 
@@ -106,6 +150,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_jaccard_join": op8_jaccard_join,
         "op9_html_text": op9_html_text,
         "op10_mix_sources": op10_mix_sources,
+        "op12_periodic_runs": op12_periodic_runs,
         "op13_secret_scan": op13_secret_scan,
     }
 
