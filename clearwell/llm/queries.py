@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clearwell.llm.common import table
 from clearwell.llm.decontaminate import find_passages
+from clearwell.llm.hardneg import mine_hard_negatives
 from clearwell.llm.html import extract_main_text
 from clearwell.llm.jaccard import jaccard_classes
 from clearwell.llm.mixing import WORD, mix_sources
@@ -76,6 +77,12 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(vectors.withColumn("label", moved))
+
+
 def _with_periodic_tails(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``text``: of each tenth document, by hash, the words from one on repeat a block."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -150,13 +157,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_jaccard_join": op8_jaccard_join,
         "op9_html_text": op9_html_text,
         "op10_mix_sources": op10_mix_sources,
+        "op11_hard_negatives": op11_hard_negatives,
         "op12_periodic_runs": op12_periodic_runs,
         "op13_secret_scan": op13_secret_scan,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_top_k": OP1_SQL, "op4_url_filters": OP4_SQL, "op6_warc": OP6_SQL}
+    return {
+        "op1_top_k": OP1_SQL,
+        "op4_url_filters": OP4_SQL,
+        "op6_warc": OP6_SQL,
+        "op11_hard_negatives": OP11_SQL,
+    }
 
 
 OP1_SQL = """
@@ -218,3 +231,28 @@ SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
        CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
 FROM coded
 """
+
+OP11_SQL = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+           CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v a JOIN v c ON c.vec_id <> a.vec_id AND len(c.v) = len(a.v)
+    WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+    FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+    SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+           CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+    FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+    WHERE 100 * s.score BETWEEN 30 * p.positive_score AND 90 * p.positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+"""

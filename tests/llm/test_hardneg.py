@@ -1,0 +1,108 @@
+import numpy as np
+import pytest
+from compare import compare, connect
+
+import __spark_entry__ as entry
+from clearwell.llm.hardneg import Best, Queries, Search, Sphere, mine_hard_negatives, plant
+
+SF = "/root/testdata/sf0.001"
+
+
+def brute(rows, every=100, positives=5, negatives=10):
+    out = []
+    for a, al, av in rows:
+        if a % every:
+            continue
+        scored = [(-sum(x * y for x, y in zip(av, v, strict=True)), i, label) for i, label, v in rows if i != a and len(v) == len(av)]
+        scored.sort()
+        for ps, pid, _ in [s for s in scored if s[2] == al][:positives]:
+            fit = [(n, i) for n, i, label in scored if label != al and 30 * -ps <= 100 * -n <= 90 * -ps][:negatives]
+            out += [(a, pid, k + 1, i, -ps, -n) for k, (n, i) in enumerate(fit)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize(
+    ("n", "width", "spread", "labels", "batch"),
+    [(900, 3, 50, 4, 1 << 20), (1200, 8, 3, 3, 1 << 20), (400, 2, 1000, 2, 40), (300, 5, 0, 2, 1 << 20), (40, 4, 9, 40, 1 << 20)],
+)
+def test_equals_brute_force(spark, n, width, spread, labels, batch):
+    rng = np.random.default_rng(n)
+    x = rng.integers(-spread, spread + 1, size=(n, width))
+    x[5:35] = x[5]  # copies and ties
+    rows = [(i * 5, int(rng.integers(labels)), v) for i, v in enumerate(x.tolist())]
+    df = spark.createDataFrame([(i, [c / 256 for c in v], label) for i, label, v in rows], "vec_id long, embedding array<double>, label int")
+    got = mine_hard_negatives(df, fit_rows=100, split_points=6, block_rows=128, fan_out=4, leaf_rows=8, query_bytes=batch)
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows)
+
+
+def search(x, labels, queries, k, same, low, high, leaf_rows=8):
+    ids = np.arange(len(x))
+    sphere = Sphere(float(np.sqrt((x * x).sum(axis=1).max())))
+    order, tree = plant(sphere, x, 8, leaf_rows)
+    look = Search(sphere, Queries(ids[queries], labels[queries], x[queries], np.arange(len(queries)), low, high, same, k))
+    none = np.zeros(0)
+    look.block(ids[order], labels[order], x[order], tree, x[:0], none, none)
+    return look
+
+
+def test_ranges_eliminate_subtrees():
+    """On clustered vectors most subtrees are out of a window's annulus, and nothing is lost."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(60, 6)) * 1000
+    x = (centres[rng.integers(60, size=6000)] + rng.normal(size=(6000, 6)) * 20).astype(np.int64)
+    labels, queries = rng.integers(0, 3, 6000), np.arange(0, 6000, 100)
+    edge = np.iinfo(np.int64)
+    look = search(x, labels, queries, 5, True, np.full(60, edge.min), np.full(60, edge.max))
+    assert look.scored < 0.25 * look.possible
+    scores = x[queries] @ x.T
+    for q in range(60):
+        fit = [i for i in range(6000) if labels[i] == labels[queries[q]] and i != queries[q]]
+        best = sorted(fit, key=lambda i: (-scores[q, i], i))[:5]
+        assert sorted(look.best.row[look.best.window == q].tolist()) == sorted(best)
+
+
+def test_annulus_has_an_inner_edge():
+    rng = np.random.default_rng(5)
+    x = rng.integers(-100, 101, size=(3000, 3))
+    labels, queries = np.zeros(3000, np.int64), np.arange(0, 3000, 300)
+    labels[queries] = 1
+    scores = x[queries] @ x.T
+    low, high = np.full(10, 500), np.full(10, 900)
+    look = search(x, labels, queries, 4, False, low, high)
+    for q in range(10):
+        fit = [i for i in range(3000) if labels[i] == 0 and 500 <= scores[q, i] <= 900]
+        assert sorted(look.best.row[look.best.window == q].tolist()) == sorted(sorted(fit, key=lambda i: (-scores[q, i], i))[:4])
+    assert look.scored < 0.6 * look.possible
+
+
+def test_best_keeps_least_ids_of_ties():
+    best = Best(2, 2)
+    for row in (9, 4, 7, 1):
+        best.add(np.array([0, 1]), np.array([5, row]), np.array([row, row]))
+        best.settle()
+    assert best.row.tolist() == [1, 4, 9, 7] and best.floor.tolist() == [5, 7]
+
+
+def test_copies_stay_in_one_leaf():
+    order, tree = plant(Sphere(10.0), np.ones((500, 3), np.int64), 8, 16)
+    assert tree == (0, 500) and sorted(order.tolist()) == list(range(500))
+
+
+def test_awkward_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    clean = [(i, i % 3, [i % 7 + 1, i % 5, -(i % 4)]) for i in range(301)]
+    rows = [(i, [c / 256 for c in v], label) for i, label, v in clean]
+    rows += [
+        (400, None, 1), (500, [], 1), (600, [nan, 0.0, 0.0], 1), (700, [inf, 0.0, 0.0], 1), (800, [None, 1.0, 1.0], 1),
+        (None, [1.0, 1.0, 1.0], 1), (900, [1.0, 1.0], 1), (1000, [1.0, 1.0, 1.0], None), rows[5], rows[100],
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    df = df.selectExpr("*", "1 AS id", "2 AS v", "3 AS rank", "4 AS part", "5 AS dims")
+    assert sorted(tuple(r) for r in mine_hard_negatives(df, block_rows=64).collect()) == brute(clean)
+    assert mine_hard_negatives(df.limit(0)).collect() == []
+    zero = spark.createDataFrame([(i * 100, [0.0, 0.0], i % 2) for i in range(6)], df.select("vec_id", "embedding", "label").schema)
+    assert sorted(tuple(r) for r in mine_hard_negatives(zero).collect()) == brute([(i * 100, i % 2, [0, 0]) for i in range(6)])
+
+
+def test_query_equals_its_sql(spark):
+    assert compare(spark, connect(SF), entry.queries()["op11_hard_negatives"], entry.oracle_sql()["op11_hard_negatives"], SF) is None
