@@ -51,28 +51,33 @@ def _code(letter: Column) -> Column:
 class MarkovRatio:
     """log P(next | last, random) - log P(next | last, ordinary) in thousandths, row by row.
 
-    Row 0 is the start of a string; row and column i + 1 are character i of `ALPHABET`.
+    One table a kind of random strings.  Row 0 is the start of a string; row and column
+    i + 1 are character i of `ALPHABET`.
     """
 
-    thousandths: tuple[int, ...]
+    thousandths: tuple[tuple[int, ...], ...]
 
     def ratio(self, text: Column) -> Column:
-        """The log-likelihood ratio of a string, summed over its characters, in thousandths."""
-        table = F.split(F.lit(",".join(map(str, self.thousandths))), ",").cast("array<int>")
-        summed = F.aggregate(
-            F.split(text, ""),
-            F.struct(F.lit(0).alias("last"), F.lit(0).cast("long").alias("total")),
-            lambda seen, c: F.struct(
-                _code(c).alias("last"),
-                (seen["total"] + F.get(table, seen["last"] * WIDTH + _code(c))).alias("total"),
-            ),
-        )
-        return summed["total"]
+        """The greatest log-likelihood ratio of a string, summed over its characters, in thousandths."""
+        ratios = []
+        for own in self.thousandths:
+            table = F.split(F.lit(",".join(map(str, own))), ",").cast("array<int>")
+            summed = F.aggregate(
+                F.split(text, ""),
+                F.struct(F.lit(0).alias("last"), F.lit(0).cast("long").alias("total")),
+                lambda seen, c: F.struct(
+                    _code(c).alias("last"),
+                    (seen["total"] + F.get(table, seen["last"] * WIDTH + _code(c))).alias("total"),
+                ),
+            )
+            ratios.append(summed["total"])
+        return F.greatest(*ratios) if len(ratios) > 1 else ratios[0]
 
 
 def fit_markov(labelled: DataFrame, smoothing: float = 0.5) -> MarkovRatio:
-    """Two first-order character models from rows ``text``, ``label`` (1: random, 0: ordinary).
+    """First-order character models from rows ``text``, ``label``.
 
+    Label 0 is ordinary; each of the others is a kind of random strings.
     Transitions are counted over all rows given and smoothed; a null text counts
     nothing, and a class without rows is a uniform model.
     """
@@ -81,20 +86,23 @@ def fit_markov(labelled: DataFrame, smoothing: float = 0.5) -> MarkovRatio:
     steps = F.zip_with(
         F.concat(F.array(F.lit(0)), F.slice("codes", 1, F.size("codes") - 1)), "codes", lambda a, b: a * WIDTH + b
     )
-    counts: list[list[float]] = [[0.0] * (WIDTH * WIDTH) for _ in range(2)]
     counted = rows.select("label", F.explode(steps).alias("step")).groupBy("label", "step").count()
-    for r in counted.collect():  # at most two tables of WIDTH * WIDTH
-        counts[r["label"]][r["step"]] = float(r["count"])
+    counts: dict[int, list[float]] = {}
+    for r in counted.collect():  # WIDTH * WIDTH a label at most
+        counts.setdefault(r["label"], [0.0] * (WIDTH * WIDTH))[r["step"]] = float(r["count"])
 
-    def logs(own: list[float]) -> list[float]:
-        out = []
+    def logs(label: int) -> list[float]:
+        own, out = counts.get(label, [0.0] * (WIDTH * WIDTH)), []
         for at in range(0, WIDTH * WIDTH, WIDTH):
             total = sum(own[at : at + WIDTH]) + smoothing * WIDTH
             out += [math.log((c + smoothing) / total) for c in own[at : at + WIDTH]]
         return out
 
-    ordinary, random = map(logs, counts)
-    return MarkovRatio(tuple(round(1000 * (r - o)) for r, o in zip(random, ordinary, strict=True)))
+    ordinary = logs(0)
+    kinds = sorted(set(counts) - {0}) or [1]
+    return MarkovRatio(
+        tuple(tuple(round(1000 * (r - o)) for r, o in zip(logs(k), ordinary, strict=True)) for k in kinds)
+    )
 
 
 def _matches(docs: DataFrame, id_col: str, text_col: str, patterns: Sequence[Pattern]) -> DataFrame:
@@ -149,13 +157,14 @@ def labelled_strings(
     fit_docs: int = 4_000,
     fit_strings: int = 20_000,
 ) -> DataFrame:
-    """Rows ``text``, ``label`` to learn from, at most ``fit_strings`` of each of three kinds.
+    """Rows ``text``, ``label`` to learn from, from at most ``fit_strings`` strings of each origin.
 
     Label 0: distinct words, identifiers and numbers of at most ``fit_docs`` texts outside
-    what the fixed patterns find.  Label 1: distinct ``value`` of ``secrets``, the rows
-    that the fixed patterns found; and, since a corpus holds few forms of secrets,
-    digests of the label 0 strings in hexadecimal, base64 and capitals with digits.
-    All are chosen by hash, so reruns agree.
+    what the fixed patterns find, and numbers of 4 to 19 digits made from a quarter of
+    them, since account and telephone numbers are no keys.  Labels 1 to 4, by alphabet (hexadecimal in small
+    letters, in capitals, capitals with digits, any): distinct ``value`` of ``secrets``, the
+    rows that the fixed patterns found; and, since a corpus holds few kinds of secrets,
+    digests of the label 0 strings.  All are chosen by hash, so reruns agree.
     """
 
     def first(rows: DataFrame, most: int) -> DataFrame:
@@ -170,21 +179,28 @@ def labelled_strings(
     for p in BASE:
         rest = F.regexp_replace(rest, p.regex, " ")
     tokens = some.select(F.explode(F.regexp_extract_all(rest, F.lit(TOKEN), F.lit(0))).alias("text"))
-    ordinary = written(first(tokens, fit_strings), "ordinary-strings")
+    words = written(first(tokens, fit_strings), "ordinary-strings")
+    size = F.pmod(F.xxhash64(F.lit(9), "text"), F.lit(28)).cast("int")
+    number = F.substr(F.regexp_replace(F.xxhash64(F.lit(7), "text").cast("string"), "-", ""), F.lit(1), 2 * size + 4)
+    ordinary = words.unionByName(words.where(size < 7).select(number.alias("text")))
     digest = F.unhex(F.sha2("text", 256))
-    length = F.pmod(F.xxhash64(F.lit(9), "text"), F.lit(28)).cast("int") + 16
-    upper = F.translate(F.upper(F.base64(digest)), "+/=", "")
-    forms = F.array(
-        F.base64(digest), F.lower(F.hex(digest)), F.hex(digest), upper, F.translate(F.base64(digest), "+/=", "")
-    )
-    made = ordinary.select(F.explode(F.transform(forms, lambda f: F.substr(f, F.lit(1), length))).alias("text"))
+    length = size + 16
+    plain = F.translate(F.base64(digest), "+/=", "")
+    forms = F.array(F.lower(F.hex(digest)), F.hex(digest), F.upper(plain), F.base64(digest), plain)
+    made = words.select(F.explode(F.transform(forms, lambda f: F.substr(f, F.lit(1), length))).alias("text"))
     random = first(secrets.select(F.col("value").alias("text")), fit_strings).unionByName(first(made, fit_strings))
-    return ordinary.withColumn("label", F.lit(0)).unionByName(random.withColumn("label", F.lit(1)))
+    kind = (
+        F.when(F.col("text").rlike("^[0-9a-f]+$"), 1)
+        .when(F.col("text").rlike("^[0-9A-F]+$"), 2)
+        .when(F.col("text").rlike("^[0-9A-Z]+$"), 3)
+        .otherwise(4)
+    )
+    return ordinary.withColumn("label", F.lit(0)).unionByName(random.withColumn("label", kind))
 
 
 def scan_secrets(
     docs: DataFrame,
-    least_ratio: float = 20.0,
+    least_ratio: float = 10.0,
     labelled: DataFrame | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -197,8 +213,8 @@ def scan_secrets(
     The first three kinds are the fixed patterns of `BASE`, matched from the left
     without overlap, each for itself.  A ``random`` span is a string of the key alphabet
     of 16 characters or more that touches none of them and whose log-likelihood ratio
-    between the Markov models of random and ordinary strings reaches ``least_ratio``
-    (natural logarithms; null for fixed patterns).  The models learn from
+    between a Markov model of random strings and that of ordinary ones reaches
+    ``least_ratio`` (natural logarithms; null for fixed patterns).  The models learn from
     ``labelled`` (``text``, ``label``) or, by default, from `labelled_strings`.
 
     Native throughout: one pass over the texts extracts matches and the lengths of the
