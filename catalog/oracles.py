@@ -433,6 +433,51 @@ def schema_drift() -> str:
     return with_([raw_cte("delivery_events"), docs], "\nUNION ALL ".join(rows))
 
 
+def reject_malformed() -> str:
+    """The damaged lines and documents, spelled out as the readers see them."""
+    order = "coalesce(TRY_CAST(regexp_extract(order_id, '([0-9]+)', 1) AS BIGINT), 0)"
+    columns = list(TABLES["orders"][1](DUCKDB))
+    values = [f"coalesce({c}, '')" for c in columns]
+    quoted = " || ',' || ".join(f"""'"' || replace({v}, '"', '""') || '"'""" for v in values)
+    lines = (
+        f"lines AS (SELECT CASE {order} % 50 WHEN 7 THEN {values[0]} || ',' || {values[1]}"
+        f" WHEN 8 THEN {quoted} || ',extra' WHEN 9 THEN {values[0]} || ',\"' || {values[1]} END AS original_data"
+        " FROM raw_orders)"
+    )
+    number = "TRY_CAST(regexp_extract(event_id, '([0-9]+)', 1) AS BIGINT)"
+
+    def text(name: str, column: str) -> str:
+        return f"""'"{name}":' || CAST(to_json({column}) AS VARCHAR)"""
+
+    def struct(name: str, *fields: tuple[str, str]) -> str:
+        inner = ", ".join(text(f, c) for f, c in fields)
+        return f"""'"{name}":{{' || concat_ws(',', {inner}) || '}}'"""
+
+    event_id = f"""CASE WHEN k % 37 = 1 THEN '"event_id":' || k ELSE {text("event_id", "event_id")} END"""
+    fields = ", ".join(
+        [
+            event_id,
+            *[text(c, c) for c in ("order_id", "event_type", "event_timestamp")],
+            struct("location", ("city", "city"), ("country", "country")),
+            f"CASE WHEN k % 9 <> 4 THEN {struct('carrier', ('id', 'carrier_id'), ('name', 'carrier_name'))} END",
+            """CASE WHEN k % 10 = 3 THEN '"priority":' || k % 3 END""",
+        ]
+    )
+    keyed = f"keyed AS (SELECT *, coalesce({number}, 0) AS k FROM raw_delivery_events)"
+    docs = f"docs AS (SELECT '{{' || concat_ws(',', {fields}) || '}}' AS doc FROM keyed)"
+    key = """coalesce(TRY_CAST(regexp_extract(doc, '"event_id":"?\\D*(\\d+)', 1) AS BIGINT), 0)"""
+    marked = f"marked AS (SELECT doc, {key} AS k FROM docs)"
+    head = "SELECT '{}' AS source, 'MALFORMED' AS rejection_reason, {} AS original_data FROM {} WHERE {}"
+    body = "\nUNION ALL ".join(
+        [
+            head.format("orders", "original_data", "lines", "original_data IS NOT NULL"),
+            head.format("event_lines", "substr(doc, 1, length(doc) - 3)", "marked", "k % 40 = 3"),
+            head.format("event_arrays", "'{\"event_id\":EVT' || k || '}'", "marked", "k % 40 = 5"),
+        ]
+    )
+    return with_([raw_cte("orders"), raw_cte("delivery_events"), lines, keyed, docs, marked], body)
+
+
 # --- normalisers ----------------------------------------------------------------------------
 
 
@@ -1108,7 +1153,8 @@ def sql_results() -> str:
 def oracle_sql() -> dict[str, str]:
     found = {f"scan_{e}": scan(e) for e in ALL}
     found["source_csv_tables"] = scan("orders")
-    found["source_json_declared"] = scan("delivery_events")
+    found["source_json_declared"] = found["source_json_array"] = scan("delivery_events")
+    found["reject_malformed"] = reject_malformed()
     found["source_json_inferred"] = found["source_documents"] = scan("reviews")
     found["sink_rejects"] = reject_envelope()
     found["sink_gold"] = table("sales_by_product")

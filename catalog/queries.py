@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 from uuid import uuid4
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +23,7 @@ from clearwell.operators import duplicates, rejects, silver
 from clearwell.operators import summaries as S
 from clearwell.plans import controls, gold, quality, reports
 from clearwell.plans.entities import ENTITIES
-from clearwell.sources import drift, readers, sinks
+from clearwell.sources import drift, json_arrays, readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -149,6 +150,83 @@ def source_json_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(readers.as_raw(readers.read_json(spark, path), "reviews"))
 
 
+def _write_arrays(documents: DataFrame, path: str) -> None:
+    """JSON texts, column ``doc``, as indented arrays over many lines, one a task."""
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = "["
+        for batch in batches:
+            out = [before] + [""] * batch.num_rows
+            for i, doc in enumerate(batch.column(0).to_pylist()):
+                out[i] += f"\n  {doc}"
+                out[i] += "," if i + 1 < batch.num_rows else ""
+            before = ","
+            yield pa.RecordBatch.from_arrays([pa.array(out[:-1], pa.string())], ["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["]" if before == "," else "[]"], pa.string())], ["value"])
+
+    documents.select("doc").mapInArrow(lines, "value string").write.text(path)
+
+
+def source_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delivery events as arrays over many lines, cut at their elements and read by many tasks.
+
+    Each is indented, so that it takes several lines itself.
+    """
+    path = _folder(spark, "arrays")
+    events = spark_table(spark, sf_dir, "delivery_events")
+    pretty = F.to_json(F.struct(*events.columns), {"pretty": "true"})
+    _write_arrays(events.select(pretty.alias("doc")), f"{path}/files")
+    texts = json_arrays.json_elements(spark, f"{path}/files", f"{path}/elements", glob="*.txt")
+    rows = json_arrays.parsed(texts, readers.delivery_events_schema())
+    return portable(readers.as_raw(rows.drop(json_arrays.MALFORMED), "delivery_events"))
+
+
+def reject_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as CSV and events as JSON lines and arrays, some damaged; the malformed as rejects.
+
+    Lines lose their last values, get one too many or a quote that never closes;
+    documents lose their end or the quotes of a value.
+    """
+    path = _folder(spark, "damaged")
+    orders = spark_table(spark, sf_dir, "orders")
+    number = F.coalesce(F.regexp_extract("order_id", r"(\d+)", 1).try_cast("bigint"), F.lit(0))
+    values = [F.coalesce(F.col(c), F.lit("")) for c in orders.columns]
+    good = F.concat_ws(",", *[F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('""')), F.lit('"')) for v in values])
+    orders.select(
+        F.when(number % 50 == 7, F.concat_ws(",", *values[:2]))
+        .when(number % 50 == 8, F.concat(good, F.lit(",extra")))
+        .when(number % 50 == 9, F.concat_ws(",", values[0], F.concat(F.lit('"'), values[1])))
+        .otherwise(good)
+    ).write.text(f"{path}/orders")
+    options = {"header": "false", "escape": '"'}
+    csv = readers.Source("csv", f"{path}/orders", options, ENTITIES["orders"].raw_schema, keep_malformed=True)
+    docs = event_documents(spark, sf_dir)
+    key = F.coalesce(F.regexp_extract("doc", r'"event_id":"?\D*(\d+)', 1).try_cast("bigint"), F.lit(0))
+    cut = F.substr("doc", F.lit(1), F.length("doc") - 3)
+    unquoted = F.concat(F.lit('{"event_id":EVT'), key.cast("string"), F.lit("}"))
+    docs.select(F.when(key % 40 == 3, cut).otherwise(F.col("doc"))).write.text(f"{path}/lines")
+    _write_arrays(docs.select(F.when(key % 40 == 5, unquoted).otherwise(F.col("doc")).alias("doc")), f"{path}/arrays")
+    schema = readers.delivery_events_schema()
+    lines = json_arrays.parsed(spark.read.text(f"{path}/lines"), schema)
+    arrays = json_arrays.parsed(
+        json_arrays.json_elements(spark, f"{path}/arrays", f"{path}/elements", glob="*.txt"), schema
+    )
+    read = {
+        "orders": ("orders", readers.read_source(spark, csv)),
+        "event_lines": ("delivery_events", lines),
+        "event_arrays": ("delivery_events", arrays),
+    }
+    parts = [
+        rejects.envelope(
+            silver.rejected(silver.tag(readers.as_raw(df, entity), ENTITIES[entity], keep_raw=True)), name
+        )
+        .where(F.col(silver.REASON) == silver.MALFORMED_RECORD)
+        .select("source", "rejection_reason", "original_data")
+        for name, (entity, df) in read.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def source_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reviews through the connector reader, by format name and required options."""
     path = _folder(spark, "documents")
@@ -411,7 +489,7 @@ def _report(name: str) -> Query:
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {f"scan_{e}": _scan(e) for e in TABLES}
     for query in (
-        source_csv_tables, source_json_declared, source_json_inferred, source_documents,
+        source_csv_tables, source_json_declared, source_json_inferred, source_json_array, source_documents, reject_malformed,
         sink_rejects, sink_gold, sink_validation, sink_sql_results,
     ):
         found[query.__name__] = query

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearwell.functions import vocab as V
-from clearwell.operators.silver import RAW, REASON
+from clearwell.operators.silver import MALFORMED, RAW, REASON
 
 ENVELOPE = ["source", REASON, "rejection_timestamp", "original_data"]
 
@@ -19,11 +19,11 @@ def envelope(df: DataFrame, source: str, payload: str = "raw") -> DataFrame:
 
     ``payload="raw"`` writes the row as it was read, NULL fields included, when
     the rejects were tagged with ``keep_raw``; ``payload="cleaned"`` writes the
-    cleaned row and leaves NULL fields out.
+    cleaned row and leaves NULL fields out.  A malformed record's payload is its text.
     """
     if payload not in ("raw", "cleaned"):
         raise ValueError(f"payload must be 'raw' or 'cleaned', not {payload!r}")
-    data = [c for c in df.columns if c not in (*ENVELOPE, RAW)]
+    data = [c for c in df.columns if c not in (*ENVELOPE, RAW, MALFORMED)]
     if REASON in df.columns:
         stated = F.col(REASON).cast("string")
         reason = F.when(F.trim(stated) != "", stated).otherwise(V.NO_REASON)
@@ -35,6 +35,8 @@ def envelope(df: DataFrame, source: str, payload: str = "raw") -> DataFrame:
         original = F.to_json(F.struct(*data))
     else:
         original = F.lit("{}")
+    if MALFORMED in df.columns:
+        original = F.coalesce(MALFORMED, original)
     return df.select(
         F.lit(source).alias("source"),
         reason.alias(REASON),

@@ -17,6 +17,9 @@ from clearwell.plans.entities import ENTITIES, Entity, Rule
 
 REASON = "rejection_reason"
 RAW = "_raw"
+#: The text of a record that its reader could not take apart, NULL for all others.
+MALFORMED = "_malformed"
+MALFORMED_RECORD = "MALFORMED"
 
 
 @dataclass(frozen=True)
@@ -55,18 +58,25 @@ def tag(
     exact_width: bool = False,
     keep_raw: bool = False,
 ) -> DataFrame:
-    """Cleaned rows plus ``rejection_reason``; ``_raw`` holds the row as read."""
+    """Cleaned rows plus ``rejection_reason``; ``_raw`` holds the row as read.
+
+    Where the reader kept the text of malformed records, these are rejects whatever
+    else their columns say.
+    """
     if keep_raw:
-        df = df.withColumn(RAW, F.struct(*df.columns))
+        df = df.withColumn(RAW, F.struct(*[c for c in df.columns if c != MALFORMED]))
+    rules = list(entity.rules())
+    if MALFORMED in df.columns:
+        rules.insert(0, Rule(MALFORMED_RECORD, F.col(MALFORMED).isNotNull()))
     # One row in, one row out: the generator only keeps Catalyst from pushing
     # "reason IS NULL" below the cleaning, where the filter would hold a copy of
     # every cleaning expression per rule.  That ran ten times slower.
-    reason = F.explode(F.array(first_broken(entity.rules())))
+    reason = F.explode(F.array(first_broken(rules)))
     return clean(df, entity, exact_width).select("*", reason.alias(REASON))
 
 
 def valid(tagged: DataFrame) -> DataFrame:
-    return tagged.where(F.col(REASON).isNull()).drop(REASON, RAW)
+    return tagged.where(F.col(REASON).isNull()).drop(REASON, RAW, MALFORMED)
 
 
 def rejected(tagged: DataFrame) -> DataFrame:

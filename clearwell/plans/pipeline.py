@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearwell.operators import duplicates
-from clearwell.operators.silver import RAW, REASON, Silver, require, tag
+from clearwell.operators.silver import MALFORMED, RAW, REASON, Silver, require, tag
 from clearwell.plans import controls, gold, quality, reports
 from clearwell.plans.entities import ENTITIES
 from clearwell.sources import sinks
@@ -56,7 +56,7 @@ def stage_silver(
         sinks.write_table(rows, path, partition_by=[_REJECTED])
         stored = spark.read.schema(rows.schema).parquet(path)
         tagged[name] = stored.drop(_REJECTED)
-        valid[name] = stored.where(~F.col(_REJECTED)).drop(REASON, RAW, _REJECTED)
+        valid[name] = stored.where(~F.col(_REJECTED)).drop(REASON, RAW, MALFORMED, _REJECTED)
         rejected[name] = stored.where(F.col(_REJECTED)).drop(_REJECTED)
     return Silver(tagged, valid, rejected)
 

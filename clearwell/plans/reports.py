@@ -18,6 +18,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clearwell.operators.silver import MALFORMED
 from clearwell.sources import sinks
 
 # Declared numeric columns of the relational tables.  Everything else, the order
@@ -172,15 +173,17 @@ class ReportRun:
 
 
 def raw_views(bronze: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The relational raw tables with their numbers typed; bad numbers are NULL."""
-    return {
-        name: bronze[name].withColumns(
-            {c: F.col(c).try_cast(t) for c, t in columns.items()}
-        )
-        if columns
-        else bronze[name]
-        for name, columns in NUMERIC_COLUMNS.items()
-    }
+    """The relational raw tables with their numbers typed; bad numbers are NULL.
+
+    A record that its reader could not take apart is no row of them.
+    """
+    views = {}
+    for name, columns in NUMERIC_COLUMNS.items():
+        df = bronze[name]
+        if MALFORMED in df.columns:
+            df = df.where(F.col(MALFORMED).isNull()).drop(MALFORMED)
+        views[name] = df.withColumns({c: F.col(c).try_cast(t) for c, t in columns.items()}) if columns else df
+    return views
 
 
 def tidy(sql: str) -> str:

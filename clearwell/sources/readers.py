@@ -8,12 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clearwell.operators.silver import MALFORMED
 from clearwell.plans.entities import DELIVERY_EVENTS, ENTITIES
+from clearwell.sources import json_arrays, sinks
 
 
 @dataclass(frozen=True)
@@ -36,6 +39,8 @@ class Source:
     schema: str | T.StructType | None = None
     # a JDBC table without a split is read by one task; that has to be asked for
     single_task: bool = False
+    # CSV and JSON with a schema: keep the text of records that cannot be taken apart
+    keep_malformed: bool = False
 
 
 def jdbc_options(
@@ -89,8 +94,36 @@ def run_jdbc_reports(
     }
 
 
-def read_csv_text(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.csv(path, schema=schema, header=True)
+def read_csv_text(
+    spark: SparkSession,
+    path: str,
+    schema: str | T.StructType,
+    keep_malformed: bool = False,
+    **options: str,
+) -> DataFrame:
+    """Declared text columns.  ``keep_malformed`` adds the column `MALFORMED`: the line as
+    read if it has too few or too many values or a quote that does not close."""
+    options = {"header": "true", **options}
+    if not keep_malformed:
+        return spark.read.options(**options).csv(path, schema=schema)
+    if str(options.get("multiLine", "false")).lower() == "true":
+        raise ValueError("lines are kept as read, so values cannot hold line ends")
+    # whole lines first: one column, with a separator and without quotes that occur in text
+    whole = {k: v for k, v in options.items() if k in ("header", "encoding", "lineSep", "pathGlobFilter", "recursiveFileLookup")}
+    lines = spark.read.options(**whole, sep="\u0001", quote="", maxCharsPerColumn="-1").csv(path, schema="line string")
+    declared = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    parsed = {k: v for k, v in options.items() if k not in whole}
+    parsed |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED, "maxCharsPerColumn": "-1"}
+    ddl = T.StructType([*declared.fields, T.StructField(MALFORMED, T.StringType())]).toDDL()
+    rows = lines.select("line", F.from_csv("line", F.lit(ddl), parsed).alias("r"))
+    quote = options.get("quote", '"')
+    line = F.col("line")
+    escaped = F.replace(line, F.lit(options.get("escape", "\\") + quote), F.lit("")) if quote else line
+    quotes = F.length(escaped) - F.length(F.replace(escaped, F.lit(quote or "\u0001"), F.lit("")))
+    broken = F.col("r").getField(MALFORMED).isNotNull() | (quotes % 2 == 1)
+    return rows.select(
+        *[F.col("r").getField(f.name).alias(f.name) for f in declared.fields], F.when(broken, line).alias(MALFORMED)
+    )
 
 
 def read_json(
@@ -100,13 +133,27 @@ def read_json(
     multi_line: bool = False,
     sampling_ratio: float = 1.0,
     recursive: bool = False,
+    keep_malformed: bool = False,
+    staging: str | None = None,
 ) -> DataFrame:
-    """JSON Lines by default.  ``multi_line`` reads arrays or one document per file,
-    which Spark cannot split: one file is then one task.  ``recursive`` takes the
-    files of all folders below ``path`` as well."""
-    reader = spark.read.options(
-        multiLine=multi_line, pathGlobFilter="*.json", recursiveFileLookup=recursive
-    )
+    """JSON Lines by default.  ``multi_line`` reads arrays or documents over several lines;
+    Spark gives such a file to one task, so `json_arrays` cuts it at its elements, which
+    are written once under ``staging`` (a new folder in ``spark.checkpoint.dir`` by
+    default).  ``recursive`` takes the files of all folders below ``path`` as well.
+    ``keep_malformed`` adds the column `MALFORMED`: the text of a record that is no
+    JSON object."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    if multi_line:
+        staging = staging or f"{sinks.shared_dir(spark)}/json-elements-{uuid4().hex}"
+        texts = json_arrays.json_elements(spark, path, staging, recursive)
+        rows = json_arrays.parsed(texts, schema if schema is not None else json_arrays.inferred_schema(texts))
+        return rows if keep_malformed else rows.drop(MALFORMED)
+    reader = spark.read.options(pathGlobFilter="*.json", recursiveFileLookup=recursive)
+    if keep_malformed:
+        if schema is None:
+            raise ValueError("malformed records are kept beside a declared schema")
+        return json_arrays.parsed(reader.text(path).where(F.trim("value") != ""), schema)
     if schema is None:
         return reader.option("samplingRatio", str(sampling_ratio)).json(path)
     return reader.schema(schema).json(path)
@@ -129,9 +176,10 @@ def read_delivery_events(
     multi_line: bool = False,
     recursive: bool = False,
     allow_empty: bool = False,
+    keep_malformed: bool = False,
 ) -> DataFrame:
     schema = delivery_events_schema()
-    events = read_json(spark, path, schema, multi_line, recursive=recursive)
+    events = read_json(spark, path, schema, multi_line, recursive=recursive, keep_malformed=keep_malformed)
     return events if allow_empty else require_rows(events, path)
 
 
@@ -146,19 +194,41 @@ def read_documents(
 
 
 def read_source(spark: SparkSession, source: Source) -> DataFrame:
-    if source.format.lower() == "jdbc":
+    kind = source.format.lower()
+    if kind == "jdbc":
         _require_split(source.options, source.single_task)
-    reader = spark.read.format(source.format).options(**source.options)
+    options = dict(source.options)
+    multi_line = str(options.get("multiLine", "false")).lower() == "true"
+    if kind == "json" and (multi_line or source.keep_malformed):
+        if source.location is None:
+            raise ValueError("files need a location")
+        others = options.keys() - {"multiLine", "recursiveFileLookup", "pathGlobFilter"}
+        if not others and options.get("pathGlobFilter", "*.json") == "*.json":
+            recursive = str(options.get("recursiveFileLookup", "false")).lower() == "true"
+            return read_json(
+                spark, source.location, source.schema, multi_line, recursive=recursive, keep_malformed=source.keep_malformed
+            )
+        if source.keep_malformed:
+            raise ValueError(f"malformed records are not kept with the options {sorted(others)}")
+    if source.keep_malformed:
+        if kind != "csv" or source.location is None or source.schema is None:
+            raise ValueError("malformed records are kept for CSV and JSON files with a schema")
+        return read_csv_text(spark, source.location, source.schema, True, **options)
+    reader = spark.read.format(source.format).options(**options)
     if source.schema is not None:
         reader = reader.schema(source.schema)
     return reader.load(source.location) if source.location else reader.load()
 
 
 def as_raw(df: DataFrame, entity: str) -> DataFrame:
-    """The entity's declared columns as text, whatever types the source gave them."""
+    """The entity's declared columns as text, whatever types the source gave them.
+
+    The text of malformed records stays where the reader kept it.
+    """
     schema = T.StructType.fromDDL(ENTITIES[entity].raw_schema)
+    kept = [F.col(MALFORMED)] if MALFORMED in df.columns else []
     return df.select(
-        *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]
+        *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields], *kept
     )
 
 
