@@ -1157,7 +1157,7 @@ def oracle_sql() -> dict[str, str]:
     found["reject_malformed"] = reject_malformed()
     found["source_json_inferred"] = found["source_documents"] = scan("reviews")
     found["sink_rejects"] = reject_envelope()
-    found["sink_gold"] = table("sales_by_product")
+    found["sink_gold"] = found["sink_published"] = table("sales_by_product")
     found["sink_validation"] = validation()
     found["sink_sql_results"] = sql_results()
     found["schema_drift_events"] = schema_drift()

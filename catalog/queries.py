@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable, Iterator, Mapping
+from contextlib import suppress
 from functools import reduce
 from uuid import uuid4
 
@@ -23,7 +24,7 @@ from clearwell.operators import duplicates, rejects, silver
 from clearwell.operators import summaries as S
 from clearwell.plans import controls, gold, quality, reports
 from clearwell.plans.entities import ENTITIES
-from clearwell.sources import drift, json_arrays, readers, sinks
+from clearwell.sources import drift, json_arrays, publish, readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -256,6 +257,23 @@ def sink_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(spark.read.parquet(f"{base}/sales_by_product"))
 
 
+def sink_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Business tables published as one version; a later run that breaks off is not seen."""
+    base = _folder(spark, "published")
+    valid = valid_tables(spark, sf_dir)
+    tables = gold.build_gold(valid, ["sales_by_product", "product_ratings"])
+    publish.publish(spark, base, lambda folder: sinks.write_tables(tables, folder), dict)
+
+    def broken(folder: str) -> None:
+        sinks.write_tables({"sales_by_product": tables["sales_by_product"].limit(1)}, folder)
+        raise InterruptedError
+
+    with suppress(InterruptedError):
+        publish.publish(spark, base, broken)
+    seen = publish.current(spark, base)
+    return portable(seen.table(spark, "sales_by_product"))
+
+
 def sink_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The controls over the stored order table, written and read back."""
     base = _folder(spark, "validation")
@@ -490,7 +508,7 @@ def queries() -> dict[str, Query]:
     found: dict[str, Query] = {f"scan_{e}": _scan(e) for e in TABLES}
     for query in (
         source_csv_tables, source_json_declared, source_json_inferred, source_json_array, source_documents, reject_malformed,
-        sink_rejects, sink_gold, sink_validation, sink_sql_results,
+        sink_rejects, sink_gold, sink_published, sink_validation, sink_sql_results,
     ):
         found[query.__name__] = query
     found["schema_drift_events"] = schema_drift_events

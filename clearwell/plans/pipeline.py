@@ -19,7 +19,7 @@ from clearwell.operators import duplicates
 from clearwell.operators.silver import MALFORMED, RAW, REASON, Silver, require, tag
 from clearwell.plans import controls, gold, quality, reports
 from clearwell.plans.entities import ENTITIES
-from clearwell.sources import sinks
+from clearwell.sources import publish, sinks
 
 _REJECTED = "_rejected"
 
@@ -153,3 +153,21 @@ def run_pipeline(
     run.counts["sql_results"] = done.counts
     run.report_errors = done.errors
     return run
+
+
+def publish_pipeline(
+    spark: SparkSession, bronze: Mapping[str, DataFrame], base: str, **options: object
+) -> tuple[publish.Version, Run]:
+    """`run_pipeline` into a folder of its own, published under ``base`` when all of it is there.
+
+    Readers take ``publish.current(spark, base)`` and its tables (``gold/sales_by_product``,
+    ``rejects/orders``, ...), which all come from one run; a run that fails changes nothing
+    for them.  Options are those of `run_pipeline`.
+    """
+    return publish.publish(
+        spark,
+        base,
+        lambda folder: run_pipeline(spark, bronze, folder, **options),
+        lambda run: {"counts": run.counts, "report_errors": run.report_errors},
+        bool(options.get("allow_local", False)),
+    )
