@@ -2,11 +2,15 @@
 
 Each has one row per key, and each is a plain aggregation: map tasks combine
 first, so a key that holds a third of the rows reaches its reducer as one
-partial result per map task.
+partial result per map task.  Distinct values are rows before they are counted or
+listed, (order, value) by (order, value) and spread by both, so that no task holds
+the values of a heavy order as a set; a list is built from rows that are distinct.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,7 +63,7 @@ def _lines(order_items: DataFrame) -> DataFrame:
 
 def _items_columns() -> list[Column]:
     return [
-        F.size(F.collect_set("product_id")).cast("bigint").alias("number_of_products"),
+        F.count_distinct("product_id").alias("number_of_products"),
         F.sum("quantity").alias("total_quantity"),
         total("gross_amount").alias("gross_amount"),
         total("discount_amount").alias("discount_amount"),
@@ -107,39 +111,76 @@ def _labelled_lines(order_items: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def _union_of_sets(column: str) -> Column:
-    return F.array_sort(F.array_distinct(F.flatten(F.collect_set(column))))
+_SUMS = ("quantity", "gross_amount", "discount_amount", "net_amount")
+_PRODUCT, *_LABEL_KINDS = range(1 + len(_LABEL_SETS))
+
+
+def _labelled_as(kind: int, entry: Callable[[int, Column], Column]) -> Callable[[Column], Column]:
+    return lambda value: entry(kind, value)
+
+
+def _distinct_values(lines: DataFrame, sums: bool) -> DataFrame:
+    """``order_id, kind, value`` once each: its labels and, with ``sums``, its products.
+
+    A product's row carries the sums of the order's lines of that product.
+    """
+    fields = {f.name: f.dataType.simpleString() for f in lines.schema.fields}
+
+    def entry(kind: int, value: Column, amounts: bool = False) -> Column:
+        columns = [F.col(c) if amounts else F.lit(None).cast(fields[c]).alias(c) for c in _SUMS if sums]
+        return F.struct(F.lit(kind).alias("kind"), value.alias("value"), *columns)
+
+    entries = [F.array(entry(_PRODUCT, F.col("product_id"), True))] if sums else []
+    for kind, name in zip(_LABEL_KINDS, _LABEL_SETS, strict=True):
+        entries.append(F.transform(name, _labelled_as(kind, entry)))
+    rows = lines.select("order_id", F.inline(F.concat(*entries)))
+    if not sums:
+        return rows.distinct()
+    return rows.groupBy("order_id", "kind", "value").agg(*[F.sum(c).alias(c) for c in _SUMS])
+
+
+def _list_columns() -> list[Column]:
+    return [
+        F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.col("value")))).alias(f"_{name}")
+        for kind, name in zip(_LABEL_KINDS, _LABEL_SETS, strict=True)
+    ]
 
 
 def _with_products_columns(grouped: DataFrame) -> DataFrame:
-    listed = {
+    columns = {
         "product_names": F.concat_ws(", ", "_names"),
         "categories": F.concat_ws(", ", "_categories"),
         "brands": F.concat_ws(", ", "_brands"),
         "number_of_categories": F.size("_categories").cast("bigint"),
     }
-    return grouped.withColumns(listed).drop("_names", "_categories", "_brands")
-
-
-def _set_columns() -> list[Column]:
-    return [_union_of_sets(s).alias(f"_{s}") for s in _LABEL_SETS]
+    return grouped.withColumns(columns).drop("_names", "_categories", "_brands")
 
 
 def order_products_summary(order_items: DataFrame, products: DataFrame) -> DataFrame:
     """Sorted, comma-joined product names, categories and brands of each order."""
-    lines = _labelled_lines(order_items, products)
-    return _with_products_columns(lines.groupBy("order_id").agg(*_set_columns()))
+    values = _distinct_values(_labelled_lines(order_items, products), sums=False)
+    # distinct rows meet by order and are listed there, without lists of map tasks before
+    return _with_products_columns(values.repartition("order_id").groupBy("order_id").agg(*_list_columns()))
 
 
 def order_lines_summary(order_items: DataFrame, products: DataFrame) -> DataFrame:
     """Amounts and product lists together, from one pass over the lines.
 
-    The lines meet the products first; one aggregation by order follows, combined
-    before its shuffle, so a hot order arrives as one row per map task.
+    The lines meet the products first; the distinct values of an order, its products
+    with their sums among them, are one aggregation, and one by order follows.
     """
-    lines = _labelled_lines(order_items, products)
+    values = _distinct_values(_labelled_lines(order_items, products), sums=True)
     return _with_products_columns(
-        lines.groupBy("order_id").agg(*_items_columns(), *_set_columns())
+        values.repartition("order_id")
+        .groupBy("order_id")
+        .agg(
+            F.count(F.when(F.col("kind") == _PRODUCT, F.col("value"))).alias("number_of_products"),
+            F.sum("quantity").alias("total_quantity"),
+            total("gross_amount").alias("gross_amount"),
+            total("discount_amount").alias("discount_amount"),
+            total("net_amount").alias("net_amount"),
+            *_list_columns(),
+        )
     )
 
 

@@ -5,6 +5,7 @@ copy counts that stand in for duplicates here.
 """
 
 import random
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -249,9 +250,10 @@ def test_order_lines_cross_few_exchanges(tables, splitting):
     def exchanges(df):
         return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
-    assert exchanges(S.order_items_summary(items)) == 1
-    # labels by product and again for the join, lines by product, lines by order
-    assert exchanges(S.order_lines_summary(items, products)) == 4
+    # by order and product, so that no task holds the products of an order as a set; by order
+    assert exchanges(S.order_items_summary(items)) == 2
+    # labels by product and again for the join, lines by product, distinct values, by order
+    assert exchanges(S.order_lines_summary(items, products)) == 5
 
 
 def test_a_shared_customer_is_split_by_adaptive_execution(spark, splitting):
@@ -284,3 +286,24 @@ def test_missing_table_is_named(tables):
     silver, _ = tables
     with pytest.raises(KeyError, match="reviews"):
         gold.build_gold({n: d for n, d in silver.items() if n != "reviews"})
+
+
+def test_an_order_of_many_products_is_counted_without_a_set(spark):
+    """Distinct values are rows spread by (order, value); no aggregate holds a set."""
+    n = 200_000
+    items = spark.range(n * 2).selectExpr(
+        "'ORD00001' AS order_id", f"concat('PRD', id % {n}) AS product_id", "1 AS quantity",
+        "CAST(2 AS decimal(10,2)) AS unit_price", "CAST(0 AS decimal(10,2)) AS discount",
+    )
+    products = spark.range(n).selectExpr("concat('PRD', id) AS product_id", "concat('name ', id) AS product_name", "concat('c', id % 3) AS category", "'b' AS brand")
+    summary = S.order_lines_summary(items, products)
+    row = summary.collect()[0]
+    assert (row["number_of_products"], row["total_quantity"], row["net_amount"]) == (n, 2 * n, Decimal("800000.00"))
+    names = row["product_names"].split(", ")
+    assert len(names) == n and names == sorted(names) and row["categories"] == "c0, c1, c2" and row["number_of_categories"] == 3
+    counted = S.order_items_summary(items)
+    assert [r["number_of_products"] for r in counted.collect()] == [n]
+    for df in (summary, counted):
+        assert "collect_set(product_id" not in df._jdf.queryExecution().optimizedPlan().toString()
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\([^)]*kind#\d+, value#", plan)
