@@ -44,11 +44,12 @@ def gram_hashes(chars: np.ndarray, q: int) -> np.ndarray:
     return h
 
 
-def banded_distance(pattern: np.ndarray, region: np.ndarray, most: int) -> tuple[int, int] | None:
-    """Least edits of the whole pattern against any part of the region, and where that part ends.
+def edits_by_end(pattern: np.ndarray, region: np.ndarray, most: int) -> np.ndarray | None:
+    """Least edits of the whole pattern against a part of the region that ends at 0, 1, ...
 
     Only the diagonals that let the pattern start anywhere in the region's slack and
-    move by ``most`` are computed; None if more than ``most`` edits are needed.
+    move by ``most`` are computed; values above ``most`` stand as ``most`` + 1, and None
+    says that there are no others.
     """
     m, n = len(pattern), len(region)
     low, high = -most, n - m + most  # diagonals j - i
@@ -74,10 +75,29 @@ def banded_distance(pattern: np.ndarray, region: np.ndarray, most: int) -> tuple
         row = np.minimum(now, far)
         if row.min() > most:
             return None
+    out = np.full(n + 1, far)
     j = m + low + steps
-    row = np.where((j >= 0) & (j <= n), row, far)
-    best = int(row.argmin())
-    return (int(row[best]), int(m + low + best)) if row[best] <= most else None
+    inside = (j >= 0) & (j <= n)
+    out[j[inside]] = row[inside]
+    return out if out.min() <= most else None
+
+
+def banded_distance(pattern: np.ndarray, region: np.ndarray, most: int) -> tuple[int, int] | None:
+    """Least edits of the whole pattern against any part of the region, and where that part ends."""
+    ends = edits_by_end(pattern, region, most)
+    if ends is None:
+        return None
+    best = int(ends.argmin())
+    return int(ends[best]), best
+
+
+def letters_lacking(pattern: np.ndarray, text: np.ndarray) -> int:
+    """How many letters of the pattern the text has too few of; each costs an edit."""
+    letters, wanted = np.unique(pattern, return_counts=True)
+    have, count = np.unique(text, return_counts=True)
+    at = np.minimum(np.searchsorted(have, letters), max(0, len(have) - 1))
+    found = np.where(have[at] == letters, count[at], 0) if len(have) else np.zeros(len(letters), np.int64)
+    return int(np.maximum(0, wanted - found).sum())
 
 
 @dataclass(frozen=True)
@@ -170,6 +190,7 @@ class Finder:
         return sorted(out)
 
     def _window(self, text: str) -> Iterator[tuple[int, int, int, int]]:
+        """Matches in a window.  Nothing it holds exceeds the index and the window in size."""
         index = self.index
         chars = codes(text)
         h = gram_hashes(chars, index.q)
@@ -182,51 +203,89 @@ class Finder:
         rank[rank == len(index.grams)] = 0
         same = index.grams[rank] == h[at]
         at, rank = at[same], rank[same]
-        number = index.starts[rank + 1] - index.starts[rank]
-        total = int(number.sum())
-        if not total:
+        if not len(at):
             return
-        # every posting of every shared gram: item, place in the item, diagonal
-        post = np.repeat(index.starts[rank] - np.cumsum(number) + number, number) + np.arange(total)
-        item, place, where = index.items[post], index.places[post], np.repeat(at, number)
+        # the places of the passages whose gram the window has, each once
+        by_gram = np.argsort(rank, kind="stable")
+        at, present = at[by_gram], rank[by_gram]
+        first = np.flatnonzero(np.concatenate([[True], present[1:] != present[:-1]]))
+        present, stop = present[first], np.append(first[1:], len(at))
+        number = index.starts[present + 1] - index.starts[present]
+        post = np.repeat(index.starts[present] - np.cumsum(number) + number, number) + np.arange(int(number.sum()))
+        item, gram = index.items[post], np.repeat(np.arange(len(present)), number)
         enough = np.bincount(item, minlength=len(index.ids)) >= index.least
         keep = enough[item]
         if not keep.any():
             return
-        item, place, where = item[keep], place[keep], where[keep]
-        for k in np.unique(item):
-            own = item == k
-            yield from self._bands(text, chars, int(k), place[own], where[own])
-
-    def _bands(self, text, chars, k: int, place, where) -> Iterator[tuple[int, int, int, int]]:
-        index, pattern = self.index, self.patterns[k]
-        budget, m = int(index.budgets[k]), len(pattern)
-        # edits move a match over at most budget + 1 diagonals; bands are twice as wide
-        # and overlap by half, so one of them holds the whole match
-        wide = budget + 1
-        band = (where - place) // wide
-        band, place = np.concatenate([band, band - 1]), np.concatenate([place, place])
-        pair = np.unique((band - band.min()) * (m + 1) + place)
-        bands, shared = np.unique(pair // (m + 1), return_counts=True)
-        base = int(band.min())
-        seen: list[tuple[int, int]] = []
-        for b in bands[shared >= index.least[k]] + base:
-            low, high = int(b) * wide, (int(b) + 2) * wide + m
-            low, high = max(0, low), min(len(chars), high)
-            if any(s <= low and high <= e for s, e in seen):
-                continue
-            exact = text.find(index.texts[k], low, high)
-            if exact >= 0:
-                seen.append((low, min(high, exact + m + wide)))
-                yield k, 0, exact, exact + m
-                continue
-            got = banded_distance(pattern, chars[low:high], budget)
-            if got is None:
+        item, gram, place = item[keep], gram[keep], index.places[post[keep]]
+        by_item = np.argsort(item, kind="stable")
+        item, gram, place = item[by_item], gram[by_item], place[by_item]
+        begins = np.flatnonzero(np.concatenate([[True], item[1:] != item[:-1]]))
+        for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(item)], strict=True):
+            k = int(item[a])
+            if letters_lacking(self.patterns[k], chars) <= index.budgets[k]:
+                yield from self._regions(text, chars, k, place[a:b], at, first[gram[a:b]], stop[gram[a:b]])
+
+    def _bands(self, k: int, place, at, first, stop, size: int) -> np.ndarray:
+        """Bands of diagonals that share enough of the passage's places with the text.
+
+        Edits move a match over at most budget + 1 diagonals; bands are twice as wide and
+        overlap by half, so one of them holds the whole match.  A place counts once a
+        band, however often its gram stands there.
+        """
+        wide, m = int(self.index.budgets[k]) + 1, len(self.patterns[k])
+        base = -m // wide - 2
+        shared = np.zeros(size // wide - base + 3, dtype=np.int32)
+        for p, a, b in zip(place.tolist(), first.tolist(), stop.tolist(), strict=True):
+            band = (at[a:b] - p) // wide - base
+            if len(band) > 1:
+                band = band[np.concatenate([[True], band[1:] != band[:-1]])]
+                before = band[np.concatenate([[True], band[1:] != band[:-1] + 1])] - 1
+            else:
+                before = band - 1
+            shared[band] += 1
+            shared[before] += 1
+        return np.flatnonzero(shared >= self.index.least[k]) + base
+
+    def _regions(self, text, chars, k: int, place, at, first, stop) -> Iterator[tuple[int, int, int, int]]:
+        """Matches of one passage; bands side by side are verified as one region."""
+        wide, m = int(self.index.budgets[k]) + 1, len(self.patterns[k])
+        bands = self._bands(k, place, at, first, stop, len(chars))
+        if not len(bands):
+            return
+        breaks = np.flatnonzero(np.diff(bands) > 2)
+        for a, b in zip(bands[np.append(0, breaks + 1)].tolist(), bands[np.append(breaks, len(bands) - 1)].tolist(), strict=True):
+            low, high = max(0, a * wide), min(len(chars), (b + 2) * wide + m)
+            yield from self._verified(text, chars, k, low, high, a == b or (b - a + 2) * wide <= m)
+
+    def _verified(self, text, chars, k: int, low: int, high: int, one: bool) -> Iterator[tuple[int, int, int, int]]:
+        """The best matches of a passage in a region that do not overlap; ``one`` place at most, or many."""
+        pattern, budget = self.patterns[k], int(self.index.budgets[k])
+        m = len(pattern)
+        exact = text.find(self.index.texts[k], low, high)
+        if exact >= 0 and one:
+            yield k, 0, exact, exact + m
+            return
+        region = chars[low:high]
+        if exact < 0 and letters_lacking(pattern, region) > budget:
+            return
+        ends = edits_by_end(pattern, region, budget)
+        if ends is None:
+            return
+        covered = np.zeros(len(region), dtype=bool)
+        candidates = np.flatnonzero(ends <= budget)
+        for end in candidates[np.argsort(ends[candidates], kind="stable")].tolist():
+            edits = int(ends[end])
+            latest = max(0, end - m + edits)  # the match starts there or before
+            if covered[max(0, end - 1)] or covered[min(latest, end - 1)]:
                 continue
-            edits, end = got
-            back = banded_distance(pattern[::-1], chars[max(low, low + end - m - budget) : low + end][::-1], budget)
-            start = low + end - (back[1] if back else m)
-            yield k, edits, max(0, start), low + end
+            start = end - m
+            if edits:
+                back = banded_distance(pattern[::-1], region[max(0, end - m - budget) : end][::-1], budget)
+                start = max(0, end - back[1]) if back else latest
+            if not covered[start:end].any():
+                covered[start:end] = True
+                yield k, edits, low + start, low + end
 
 
 def passage_parts(

@@ -108,7 +108,7 @@ class _Page:
         self.parent.append(parent)
         self.tag.append(tag)
         self.path.append(self.paths.setdefault(key, len(self.paths) + 1))
-        self.left.append(self.left[parent] * left)
+        self.left.append(max(1e-12, self.left[parent] * left))  # however deep, not zero
         return len(self.parent) - 1
 
     def _read(self, page: str) -> None:

@@ -1,7 +1,20 @@
 import random
+import time
+import tracemalloc
+from collections import Counter
+
+import pytest
 
 import __spark_entry__ as entry
-from clearwell.llm.decontaminate import PassageIndex, banded_distance, codes, drop_contaminated, find_passages, normal
+from clearwell.llm.decontaminate import (
+    PassageIndex,
+    banded_distance,
+    codes,
+    drop_contaminated,
+    find_passages,
+    letters_lacking,
+    normal,
+)
 
 SF = "/root/testdata/sf0.001"
 
@@ -91,3 +104,44 @@ def test_query_finds_every_verbatim_passage(spark):
         text = next(normal(d["text"]) for d in texts if d["doc_id"] == doc)
         k = finder.ids.index(item)
         assert distance(finder.texts[k], text) <= finder.budgets[k]
+
+
+def test_overlapping_places_of_a_repeating_text():
+    """A periodic passage in a periodic text: every place of the old list is covered, none overlap."""
+    item = normal("ab cd ef gh " * 6)
+    finder = PassageIndex.build([(1, item)], 8, 0.1).finder()
+    text = normal("zz " + "ab cd ef gh " * 30 + "qq")
+    found = finder.find(text)
+    spans = sorted((s, e) for _, s, e, _ in found)
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+    assert len(spans) == len(text) // len(item) and all(d == 0 for *_, d in found)
+
+
+@pytest.mark.parametrize("case", ["runs", "periods"])
+def test_repeated_grams_need_little_memory_and_time(case):
+    """A ruled line or a table of numbers shares its few grams with many places of many passages."""
+    rng = random.Random(6)
+    if case == "runs":
+        words = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(200)]
+        items = [" ".join(rng.choices(words, k=30)) + " 0" * 60 for _ in range(300)]
+        text = "0 " * 5000
+    else:
+        items = [("ab cd " * 200)[i : i + 720 + i] for i in range(5)]
+        text = "ab cd " * 600
+    finder = PassageIndex.build(list(enumerate(items)), 8, 0.1).finder()
+    start = time.perf_counter()
+    found = finder.find(text)
+    assert time.perf_counter() - start < 2
+    places = Counter(k for k, *_ in found)
+    assert places == ({} if case == "runs" else {k: len(text) // len(items[k]) for k in range(5)})
+    tracemalloc.start()
+    assert finder.find(text) == found
+    assert tracemalloc.get_traced_memory()[1] < 500 << 20
+    tracemalloc.stop()
+
+
+def test_letters_lacking_bounds_the_distance():
+    rng = random.Random(7)
+    for _ in range(300):
+        p, t = ("".join(rng.choices("abcd", k=rng.randint(a, 15))) for a in (1, 0))
+        assert letters_lacking(codes(p), codes(t)) <= distance(p, t)
