@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -27,8 +28,9 @@ REPORTING = frozenset(
 ADDRESSING = frozenset(
     "you your you're youre u ur du dich dein ihr euch tu te toi ton vous tú usted eres es est".split()
 )
-QUOTES = "\"“”„«»‹›‘`"
-CACHED_WORDS = 300_000
+QUOTE_OR_LINE = re.compile("[\"“”„«»‹›‘`\n]")
+#: A worker remembers so many words at most, none longer than this.
+CACHED_WORDS, CACHED_LETTERS = 300_000, 64
 
 
 class FuzzyLexicon:
@@ -41,9 +43,16 @@ class FuzzyLexicon:
 
     ``edits`` lists (least term length, edits); terms shorter than all match exactly.
     A term that ends in ``*`` is a stem: words that begin with it match, without edits.
+    ``ordinary`` words are no misspellings: they match as they stand or not at all.
     """
 
-    def __init__(self, terms: Sequence[str], edits: Sequence[tuple[int, int]] = ((5, 1), (10, 2))) -> None:
+    def __init__(
+        self,
+        terms: Sequence[str],
+        edits: Sequence[tuple[int, int]] = ((5, 1), (10, 2)),
+        ordinary: Sequence[str] = (),
+    ) -> None:
+        self.ordinary = frozenset(ordinary)
         self.children: list[dict[str, int]] = [{}]
         self.term: list[int | None] = [None]
         self.most = [0]  # edits allowed to any term below the node
@@ -134,20 +143,27 @@ class FuzzyLexicon:
             state = self._step(state, letter) if to is None else to
             if state == self.dead:
                 break
-        if len(known) >= CACHED_WORDS:
-            known.clear()
-        found = known[word] = self.accepts[state]
+        found = self.accepts[state]
+        if found is not None and found[0] and word in self.ordinary:
+            found = None
+        if len(word) <= CACHED_LETTERS:
+            if len(known) >= CACHED_WORDS:
+                known.clear()
+            known[word] = found
         return found
 
 
 FEATURES = ("exact", "exact_quoted", "near", "near_quoted", "density", "addressed", "terms")
+#: A quoted hit never counts more than the same hit outside a quotation.
+QUOTED = ((0, 1), (2, 3))
 
 
 def context_features(text: str | None, lexicon: FuzzyLexicon, weights: Sequence[float], window: int = 6) -> list[float]:
     """What a text says with lexicon terms, in the order of `FEATURES`; all 0 without any.
 
-    A hit inside quotation marks, on a line that starts with ``>``, or shortly after a
-    reporting word is quoted; one near an addressing word is addressed.
+    A hit inside quotation marks (after an odd number of them in its whole line, and
+    before another), on a line that starts with ``>``, or shortly after a reporting word is
+    quoted; one near an addressing word is addressed.
     """
     if not text:
         return [0.0] * len(FEATURES)
@@ -165,6 +181,7 @@ def context_features(text: str | None, lexicon: FuzzyLexicon, weights: Sequence[
     spans = [(m.group(), m.start(), m.end()) for m in WORD.finditer(low)]
     sums = [0.0, 0.0, 0.0, 0.0]
     addressed, terms = 0, set()
+    lines = _Lines(low)
     for i, (w, start, end) in enumerate(spans):
         found = hits.get(w)
         if found is None:
@@ -172,7 +189,7 @@ def context_features(text: str | None, lexicon: FuzzyLexicon, weights: Sequence[
         edits, term = found
         before = [x[0] for x in spans[max(0, i - window) : i]]
         after = [x[0] for x in spans[i + 1 : i + 1 + window]]
-        quoted = not REPORTING.isdisjoint(before[-3:]) or _in_quotes(low, start, end)
+        quoted = not REPORTING.isdisjoint(before[-3:]) or lines.quoted(start, end)
         sums[2 * bool(edits) + quoted] += weights[term]
         addressed += not quoted and not (ADDRESSING.isdisjoint(before) and ADDRESSING.isdisjoint(after))
         if not quoted and not edits:
@@ -184,14 +201,24 @@ def context_features(text: str | None, lexicon: FuzzyLexicon, weights: Sequence[
     ]
 
 
-def _in_quotes(text: str, start: int, end: int) -> bool:
-    line = text.rfind("\n", 0, start) + 1
-    if text[line : line + 4].lstrip().startswith(">"):
-        return True
-    stop = text.find("\n", end)
-    left = sum(text.count(q, max(line, start - 400), start) for q in QUOTES)
-    right = sum(text.count(q, end, min(end + 400, stop if stop >= 0 else len(text))) for q in QUOTES)
-    return left % 2 == 1 and right > 0
+class _Lines:
+    """Where a text's lines end and its quotation marks stand."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.ends: list[int] = []
+        self.marks: list[int] = []
+        for m in QUOTE_OR_LINE.finditer(text):
+            (self.ends if m.group() == "\n" else self.marks).append(m.start())
+
+    def quoted(self, start: int, end: int) -> bool:
+        at = bisect_left(self.ends, start)
+        line = self.ends[at - 1] + 1 if at else 0
+        stop = self.ends[at] if at < len(self.ends) else len(self.text)
+        if self.text[line : line + 4].lstrip().startswith(">"):
+            return True
+        before = bisect_left(self.marks, start) - bisect_left(self.marks, line)
+        return before % 2 == 1 and bisect_left(self.marks, end) < bisect_left(self.marks, stop)
 
 
 @dataclass(frozen=True)
@@ -200,9 +227,10 @@ class ToxicityModel:
     term_weights: tuple[float, ...]
     weights: tuple[float, ...]
     intercept: float
+    ordinary: tuple[str, ...] = ()
 
     def scorer(self):
-        lexicon = FuzzyLexicon(self.terms)
+        lexicon = FuzzyLexicon(self.terms, ordinary=self.ordinary)
 
         def score(text: str | None) -> float:
             x = context_features(text, lexicon, self.term_weights)
@@ -212,20 +240,12 @@ class ToxicityModel:
         return score
 
 
-def learn_lexicon(
-    sample: DataFrame,
-    least_texts: int = 3,
-    least_gain: float = 15.0,
-    most_terms: int = 500,
-    stems: Sequence[int] = (),
-) -> list[tuple[str, float]]:
-    """Terms that mark toxic texts, with their weights, from rows ``text``, ``label``.
-
-    Near copies count once: of texts that agree in either of two minima over hashed
-    three-word shingles one stays.  Terms are whole words and, ending in ``*``, their
-    beginnings of the lengths in ``stems``.  One is kept if it is in ``least_texts`` toxic
-    texts at least, is far more likely there, and its likelihood-ratio statistic
-    reaches ``least_gain``; of more than ``most_terms`` the strongest stay.
+def distinct_words(sample: DataFrame, stems: Sequence[int] = ()) -> DataFrame:
+    """``label`` and ``words`` of rows ``sample_id``, ``text``, ``label``, near copies once.
+
+    Of texts of one label that agree in both of two minima over hashed three-word
+    shingles the one with the least id stays.  Words have three letters at least; with
+    ``stems``, their beginnings of these lengths are words too, ending in ``*``.
     """
 
     def minima(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,12 +259,35 @@ def learn_lexicon(
                 own = {w for w in seen if w.isalpha() and len(w) > 2}
                 words.append(sorted(own | {f"{w[:n]}*" for w in own for n in stems if n < len(w)}))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(words, pa.list_(pa.string()))],
-                ["label", "a", "b", "words"],
-            )
+                [
+                    batch.column("sample_id"), batch.column("label"), pa.array(a, pa.int64()),
+                    pa.array(b, pa.int64()), pa.array(words, pa.list_(pa.string())),
+                ],
+                ["sample_id", "label", "a", "b", "words"],
+            )
+
+    kind = sample.schema["sample_id"].dataType.simpleString()
+    seen = sample.select("sample_id", "label", "text").mapInArrow(
+        minima, f"sample_id {kind}, label int, a long, b long, words array<string>"
+    )
+    least = F.min(F.struct("sample_id", "words"))
+    return written(seen.groupBy("label", "a", "b").agg(least["words"].alias("words")).select("label", "words"), "toxic-words")
+
+
+def word_counts(one: DataFrame) -> DataFrame:
+    """``word`` and in how many toxic (``a``) and clean (``b``) texts it stands."""
+    words = one.select("label", F.explode("words").alias("word"))
+    return words.groupBy("word").agg(
+        F.sum("label").cast("double").alias("a"), F.sum(1 - F.col("label")).cast("double").alias("b")
+    )
+
+
+def learn_lexicon(one: DataFrame, least_texts: int = 3, least_gain: float = 15.0) -> list[tuple[str, float]]:
+    """Terms that mark toxic texts, with their weights, from `distinct_words`.
 
-    seen = sample.select("label", "text").mapInArrow(minima, "label int, a long, b long, words array<string>")
-    one = written(seen.dropDuplicates(["a"]).dropDuplicates(["b"]), "toxic-words")
+    A word is kept if it is in ``least_texts`` toxic texts at least, is far more likely
+    there, and its likelihood-ratio statistic reaches ``least_gain``.
+    """
     size = one.agg(F.sum("label").alias("toxic"), F.count("*").alias("all")).head()
     n1, n0 = float(size["toxic"] or 0), float(size["all"] - (size["toxic"] or 0))
     if not n1 or not n0:
@@ -260,19 +303,30 @@ def learn_lexicon(
     )
     odds = F.log((a + 0.5) / (n1 + 1)) - F.log((b + 0.5) / (n0 + 1))
     rows = (
-        one.select("label", F.explode("words").alias("word"))
-        .groupBy("word")
-        .agg(F.sum("label").cast("double").alias("a"), F.sum(1 - F.col("label")).cast("double").alias("b"))
+        word_counts(one)
         .where(a >= least_texts)
         .select("word", gain.alias("gain"), odds.alias("odds"))
         .where((F.col("gain") >= least_gain) & (F.col("odds") >= 2.5))
         .orderBy(F.desc("gain"), "word")
-        .limit(most_terms)
         .collect()
     )
     return [(r["word"], float(r["odds"])) for r in rows]
 
 
+def ordinary_words(one: DataFrame, terms: Sequence[str], least_texts: int = 2) -> list[str]:
+    """Words near a term that stand in clean texts as words of their own, not as misspellings."""
+    known = list(terms)
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = FuzzyLexicon(known)
+        for batch in batches:
+            found = [lexicon.match(w) for w in batch.column("word").to_pylist()]
+            yield batch.filter(pa.array([f is not None and f[0] > 0 for f in found], pa.bool_()))
+
+    clean = word_counts(one).where(F.col("b") >= least_texts).select("word")
+    return sorted(r["word"] for r in clean.mapInArrow(near, "word string").collect())
+
+
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, rounds: int = 40) -> tuple[np.ndarray, float]:
     """Weights and intercept of a penalised logistic regression by Newton's method."""
     a = np.hstack([x, np.ones((len(x), 1))])
@@ -290,6 +344,24 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, rounds: int =
     return w[:-1], float(w[-1])
 
 
+def monotone_logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """`logistic` with no weight below 0, and no quoted one above its plain one.
+
+    A weight that comes out negative is held at 0 and the others are fitted again.
+    """
+    free = np.arange(x.shape[1])
+    weights = np.zeros(x.shape[1])
+    while True:
+        w, intercept = logistic(x[:, free], y)
+        if (w >= 0).all():
+            break
+        free = free[w >= 0]
+    weights[free] = w
+    for plain, quoted in QUOTED:
+        weights[quoted] = min(weights[quoted], weights[plain])
+    return weights, intercept
+
+
 def fit_toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -303,7 +375,7 @@ def fit_toxicity(
     """Lexicon and weights from at most ``fit_rows`` labelled rows outside the held-out fold.
 
     Up to half of the rows are toxic; classes are weighed back to their true shares
-    by the intercept.  Without both classes there is no lexicon, and every text gets
+    by the intercept.  No hit lowers a score (`monotone_logistic`).  Without both classes there is no lexicon, and every text gets
     the share of toxic labels.
     """
     sample = labelled_sample(labels, label, folds, held_out, fit_rows, id_col)
@@ -314,15 +386,17 @@ def fit_toxicity(
     )
     share = min(max(shares or 0.0, 1e-4), 1 - 1e-4)
     texts = written(sampled_texts(docs, sample, id_col, text_col), "toxic-sample")
-    lexicon = learn_lexicon(texts)
+    one = distinct_words(texts)
+    lexicon = learn_lexicon(one)
     terms, weights = tuple(t for t, _ in lexicon), tuple(w for _, w in lexicon)
     prior = math.log(share / (1 - share))
     flat = ToxicityModel(terms, weights, (0.0,) * len(FEATURES), prior)
     if not terms:
         return flat
+    ordinary = tuple(ordinary_words(one, terms))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = FuzzyLexicon(terms)
+        automaton = FuzzyLexicon(terms, ordinary=ordinary)
         for batch in slices(batches):
             x = [context_features(t, automaton, weights) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -340,9 +414,10 @@ def fit_toxicity(
     y = np.array([r["label"] for r in rows], dtype=float)
     if y.min() == y.max():
         return flat
-    w, intercept = logistic(np.array([r["x"] for r in rows]), y)
+    w, intercept = monotone_logistic(np.array([r["x"] for r in rows]), y)
     drawn = y.mean()
-    return ToxicityModel(terms, weights, tuple(map(float, w)), intercept - math.log(drawn / (1 - drawn)) + prior)
+    shifted = intercept - math.log(drawn / (1 - drawn)) + prior
+    return ToxicityModel(terms, weights, tuple(map(float, w)), shifted, ordinary)
 
 
 def score_toxicity(

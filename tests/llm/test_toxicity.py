@@ -1,10 +1,19 @@
 import random
 
+import numpy as np
 import pytest
 from llm_rows import prose
 
 import __spark_entry__ as entry
-from clearwell.llm.toxicity import FuzzyLexicon, context_features, fit_toxicity, score_toxicity
+from clearwell.llm.toxicity import (
+    FuzzyLexicon,
+    context_features,
+    distinct_words,
+    fit_toxicity,
+    logistic,
+    monotone_logistic,
+    score_toxicity,
+)
 
 SF = "/root/testdata/sf0.1"
 
@@ -85,3 +94,78 @@ def test_held_out_accuracy(spark):
     hit = sum(r["toxic"] and r["predicted"] for r in rows)
     assert hit / sum(r["toxic"] for r in rows) > 0.85 and hit / sum(r["predicted"] for r in rows) > 0.9
     assert got.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+@pytest.fixture(scope="module")
+def contextual(spark):
+    """Abuse, some of it misspelled, and clean texts that quote the same words."""
+    rng = random.Random(12)
+    bad, rows = ["villain", "rotter", "blaggard"], []
+    for i in range(600):
+        words = prose(rng, 30).split()
+        if i % 4 == 0:
+            for at in rng.sample(range(30), 3):
+                word = rng.choice(bad)
+                cut = rng.randrange(1, len(word))
+                words[at] = word if rng.random() < 0.5 else word[:cut] + rng.choice("qxzwk") + word[cut:]
+        elif i % 20 == 1:
+            words.insert(5, f'"{prose(rng, 2)} {rng.choice(bad)}"')
+        rows.append((i, " ".join(words), int(i % 4 == 0)))
+    return spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+
+
+def test_misspelling_raises_and_quotation_lowers_the_fitted_score(contextual):
+    labels = contextual.select("doc_id", "toxic")
+    model = fit_toxicity(contextual, labels)
+    assert all(w >= 0 for w in model.weights) and model == fit_toxicity(contextual, labels)
+    score = model.scorer()
+    assert set(model.terms) == {"villain", "rotter", "blaggard"}
+    plain = "amber birch cedar delta ember fjord grove heath {} {} {}"
+    texts = [("islet", "jetty", "knoll"), ("vilain", "jetty", "knoll"), ("vilain", "rottter", "knoll"), ("vilain", "rottter", "villain")]
+    levels = [score(plain.format(*t)) for t in texts]
+    assert levels == sorted(set(levels))
+    assert score(plain.format('"the', "villain", 'jetty"')) < score(plain.format("the", "villain", "jetty"))
+    held_out = score_toxicity(contextual.drop("toxic"), model).where("toxicity.held_out").join(labels, "doc_id")
+    assert held_out.where("toxic != toxicity.predicted").count() <= 0.05 * held_out.count()
+
+
+def test_weights_are_monotone():
+    rng = np.random.default_rng(3)
+    x = rng.exponential(size=(500, 7))
+    y = (x[:, 0] + 2 * x[:, 1] - x[:, 2] - 2 * x[:, 5] + rng.normal(size=500) > 1).astype(float)
+    free, _ = logistic(x, y)
+    w, intercept = monotone_logistic(x, y)
+    assert free[2] < 0 and free[5] < 0 and (w >= 0).all() and w[1] <= w[0] and w[3] <= w[2] and w[0] > 0
+
+    def loss(w):
+        z = np.clip(x @ w + intercept, -30, 30)
+        return np.log1p(np.exp(z)).mean() - (y * z).mean()
+
+    assert loss(w) < loss(np.zeros(7))
+
+
+def test_ordinary_words_are_no_misspellings():
+    lexicon = FuzzyLexicon(["villain", "rotter"], ordinary=["villein", "rotter"])
+    assert lexicon.match("villein") is None and lexicon.match("villian") is None
+    assert lexicon.match("vilain") == (1, 0) and lexicon.match("rotter") == (0, 1)
+    long_word = "x" * 100_000
+    assert lexicon.match(long_word) is None and long_word not in lexicon.known
+
+
+def test_quotation_is_tracked_along_the_whole_line():
+    lexicon = FuzzyLexicon(["villain"])
+    far = "grove " * 2000
+    for text, quoted in (
+        (f'"{far} villain {far}"', True), (f'"{far}" villain {far}"', False), (f'"{far} villain {far}', False),
+        (f'"{far}\nvillain "', False), (f"> {far} villain", True), (f'«a» {far} “villain”', True),
+    ):
+        x = context_features(text, lexicon, [1.0])
+        assert (x[1] > 0) == quoted and (x[0] > 0) != quoted, text[:10]
+
+
+def test_near_copies_fold_by_label_and_least_id(spark):
+    text = "amber birch cedar delta ember fjord grove heath islet jetty"
+    rows = [(i, text, i % 2) for i in range(20)] + [(99, "other words than those", 1)]
+    sample = spark.createDataFrame(rows, "sample_id long, text string, label int")
+    got = distinct_words(sample).collect()
+    assert sorted(r["label"] for r in got) == [0, 1, 1]
