@@ -121,6 +121,16 @@ def _spelled(node: str) -> Column:
     return F.col(node).cast("string").cast("binary")
 
 
+def join_summary(rows: DataFrame, key: str, summary: DataFrame) -> DataFrame:
+    """``rows`` with the columns of ``summary``, which has one row a ``key``; others are dropped.
+
+    A summary is partitioned by its key already; by another spelling of it the join
+    shuffles both sides itself, and Spark can split a key that many rows have.
+    """
+    spelled = summary.withColumn("_k", _spelled(key)).drop(key)
+    return rows.join(spelled, _spelled(key) == F.col("_k")).drop("_k")
+
+
 def _stars(edges: DataFrame, both_ways: bool) -> DataFrame:
     """One large-star (both ways) or small-star step over edges ``u > v``."""
     out = edges

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from clearwell.llm.common import connected_components, slices, written
+from clearwell.llm.common import connected_components, join_summary, slices, written
 
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 PAIRS_AT_ONCE = 1 << 18
@@ -261,7 +261,7 @@ def jaccard_classes(
     )
     keyed = reps.select("node", "set", F.explode("bands").alias("band"))
     buckets = keyed.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    members = written(keyed.join(buckets, "band"), "jaccard-buckets")
+    members = written(join_summary(keyed, "band", buckets), "jaccard-buckets")
     forest = written(
         _bucket_forest(members.join(reps.select("node", "set", "values"), ["node", "set"]), id_name, kind, hashes, threshold, tolerance, block_rows),
         "jaccard-forest",
@@ -271,7 +271,7 @@ def jaccard_classes(
     named = written(near.select("node"), "jaccard-near")
     members = near.join(sets.select("node", "copies", "digest"), "node")
     components = members.groupBy("component").agg(F.count("*").alias("size"))
-    candidates = written(members.join(components, "component"), "jaccard-candidates")
+    candidates = written(join_summary(members, "component", components), "jaccard-candidates")
     verified = written(
         _verified(
             rows.withColumnRenamed("id", "node").join(named, "node"), candidates,
@@ -348,7 +348,7 @@ def _verified(rows, candidates, id_name, kind, words, hashes, threshold, toleran
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = hash_family(hashes)
-        seen: set[tuple] = set()  # of this task's rows
+        seen: set[tuple] = set()  # of this task's last rows; what comes again later folds below
         for batch in slices(batches):
             digests, values, grams = [], [], []
             for node, text in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -357,6 +357,8 @@ def _verified(rows, candidates, id_name, kind, words, hashes, threshold, toleran
                 if not len(own) or (node, digest.digest()) in seen:
                     digests.append(None), values.append(None), grams.append(None)
                     continue
+                if len(seen) >= 1 << 16:
+                    seen.clear()
                 seen.add((node, digest.digest()))
                 digests.append(digest.hexdigest())
                 values.append(min_hashes(own, family).astype(np.uint16).tobytes())

@@ -1,3 +1,8 @@
+import random
+
+from llm_rows import prose
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from clearwell.llm.decontaminate import PassageIndex
 from clearwell.llm.jaccard import jaccard_classes
@@ -45,3 +50,43 @@ def test_awkward_rows(spark, docs, no_docs):
             assert out.count() <= table.count()
     kept = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"](spark, docs, SF).collect()
     assert sorted(str(r["doc_id"]) for r in kept) == sorted(["None", *map(str, [*range(16)])])
+
+
+def test_duplicates_go_by_row(spark):
+    """An id with several texts is several documents; each copy goes, and nothing else."""
+    rng = random.Random(21)
+    a, b, c, d = (prose(rng, 60) for _ in range(4))
+    near_a = " ".join([*a.split()[:-2], "other", "end"])
+    rows = [(3, a), (5, a), (5, b), (5, b), (-7, c), (9, c), (9, near_a), (9, d), (None, a), (None, a), (11, None), (11, None), (12, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit(1))
+    kept = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"](spark, docs, SF)
+    want = [(3, a), (5, b), (-7, c), (9, d), (None, a), (None, a), (11, None), (12, "")]
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(map(str, want))
+    assert kept.columns == docs.columns
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+
+    def grams(text):
+        words = (text or "").lower().split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    sets = {i: grams(t) for i, t in rows}
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    ids = sorted(sets)
+    for k, i in enumerate(ids):
+        for j in ids[k + 1 :]:
+            common = len(sets[i] & sets[j])
+            if common and common >= 0.8 * (len(sets[i]) + len(sets[j]) - common):
+                x, y = root(i), root(j)
+                parent[max(x, y)] = min(x, y)
+    kept = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"](spark, docs, SF)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [i for i in ids if root(i) == i]
