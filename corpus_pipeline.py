@@ -36,17 +36,18 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates, the one with the least id.
 
-    Rows without an id have no class and stay; a row that repeats id and text goes.
+    A document is a pair of id and text, so an id with several texts is several
+    documents, each with a class of its own; a row that repeats id and text goes.
+    Rows without an id have no class and stay.
     """
-    classes = jaccard_classes(docs)
-    first = classes.where("doc_id = class_id").select("doc_id").distinct()
-    digest = free_name(docs, "_digest")
-    kept = (
-        docs.where("doc_id IS NOT NULL")
-        .join(first, "doc_id", "left_semi")
-        .withColumn(digest, F.xxhash64("text"))
-        .dropDuplicates(["doc_id", digest])
-    )
+    row = free_name(docs, "row")
+    # sorts by id: twenty digits from 0, then the text
+    number = F.col("doc_id").cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")
+    key = F.concat(F.lpad(number.cast("string"), 20, "0"), F.lit(":"), F.hex(F.xxhash64("text")))
+    rows = docs.where("doc_id IS NOT NULL").withColumn(row, key)
+    classes = jaccard_classes(rows, id_col=row)
+    first = classes.where(F.col(row) == F.col("class_id")).select(row).distinct()
+    kept = rows.join(first, row, "left_semi").dropDuplicates([row])
     return kept.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
