@@ -6,7 +6,7 @@ from fractions import Fraction
 import pytest
 
 import __spark_entry__ as entry
-from clearwell.llm.mixing import mix_sources, sainte_lague
+from clearwell.llm.mixing import _block_plan, mix_sources, sainte_lague, shard_quotas, source_targets
 
 SF = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -94,3 +94,43 @@ def test_awkward_rows(spark, docs, no_docs):
     assert mix_sources(no_docs).count() == 0
     blank = spark.createDataFrame([(1, "", "a"), (2, None, None)], "doc_id long, text string, source string")
     assert [(r["size"], r["taken"]) for r in mix_sources(blank).collect()] == [(0, 0), (0, 0)]
+
+
+def test_shard_quotas_sum_to_the_seats(spark):
+    rng = random.Random(13)
+    sizes = [("sa", 400_000), ("sb", 900), ("sc", 70_001), ("n", 50)]
+    df = spark.createDataFrame([(k, k, s) for k, s in sizes], "_key string, _source string, _size long")
+    plan = _block_plan(source_targets(df, (1, 2, 3), 3), 32, 1024, 3, 7)
+    shards = []
+    for key, size in sizes:
+        left, shard = size, 0
+        while left:
+            words = min(left, rng.randint(1, 2000))
+            shards.append((key, shard, words))
+            left, shard = left - words, shard + 1
+    quotas = shard_quotas(plan, spark.createDataFrame(shards, "_key string, _shard long, _words long")).collect()
+    for r in plan.collect():
+        own = [q for q in quotas if q["_key"] == r["_key"]]
+        assert sum(q["quota"] for q in own) == r["_quota"] and sum(q["blocks"] for q in own) == r["_n"]
+        assert all(abs(q["quota"] - r["_quota"] * q["blocks"] / r["_n"]) <= 1 for q in own)
+        assert all(0 <= q["quota"] <= 3 * q["blocks"] for q in own)
+        assert abs(r["_quota"] * r["source_size"] / r["_n"] - r["target"]) <= max(64, 0.02 * r["target"])
+
+
+def test_empty_texts_and_a_repeated_id_spread_over_tasks(spark):
+    rng = random.Random(17)
+    rows = [(i, "w " * rng.randint(1, 300), "a") for i in range(2000)] + [(5000 + i, "x y " * 40, "b") for i in range(500)]
+    many = spark.range(100_000).selectExpr("-99 AS doc_id", "'w w w' AS text", "'a' AS source")
+    empty = spark.range(100_000).selectExpr("id + 10000 AS doc_id", "'' AS text", "'b' AS source")
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").unionByName(many).unionByName(empty)
+    mixed = mix_sources(df)
+    got = mixed.collect()
+    assert len(got) == df.count()
+    wanted = {r["source"]: r["target"] for r in got}
+    for source, target in wanted.items():
+        assert abs(sum(r["taken"] for r in got if r["source"] == source) - target) <= max(64, 0.02 * target)
+    assert all(r["taken"] == 0 for r in got if not r["size"]) and all(r["taken"] <= 3 * r["size"] for r in got)
+    copies = [r["taken"] for r in got if r["doc_id"] == -99]
+    assert len(copies) == 100_000 and len(set(copies)) > 1  # each has a place of its own
+    again = mix_sources(df.repartition(5)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
