@@ -13,7 +13,7 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearwell.llm.common import fresh_path, slices, written
+from clearwell.llm.common import fresh_path, join_summary, slices, written
 
 RECORD_SCHEMA = (
     "path string, start long, length long, kind string, warc_type string, record_id string,"
@@ -75,6 +75,7 @@ class _Window:
 
     def __init__(self, stream, step: int = 1 << 16) -> None:
         self.stream, self.step, self.buf, self.pos, self.ended = stream, step, b"", 0, False
+        self.failed, self.failed_at = "", 0
 
     def more(self) -> bool:
         got = b"" if self.ended else self.stream.read(max(self.step, len(self.buf)))
@@ -86,77 +87,153 @@ class _Window:
         self.buf, self.pos = self.buf[n:], self.pos + n
 
 
-def _member(window: _Window) -> tuple[bytes, int] | str:
-    """Data and length of the gzip member at the window's start, or why there is none."""
-    unpack, data, fed = zlib.decompressobj(31), [], 0
-    while True:
+class _Inflated:
+    """What a gzip member at a window's start holds, as a stream.
+
+    The window keeps the compressed bytes until `settle` lets them go, so that a reader
+    can go back to them.  ``failed`` says why the member broke off, if it did.
+    """
+
+    def __init__(self, window: _Window) -> None:
+        self.window, self.unpack = window, zlib.decompressobj(31)
+        self.fed = self.last = 0  # bytes of the window unpacked so far, and before the last step
+        self.step = 1 << 12
+        self.rest, self.failed = b"", ""
+        self.before, self.given = self.unpack, 0  # state before the last step, bytes given since
+
+    def read(self, n: int) -> bytes:
+        while not self.failed and not self.unpack.eof:
+            if not self.rest:
+                if self.fed == len(self.window.buf) and not self.window.more():
+                    self.failed = "gzip: ends early"
+                    break
+                self.before, self.given, self.last = self.unpack.copy(), 0, self.fed
+                self.rest = self.window.buf[self.fed : self.fed + self.step]
+                self.fed += len(self.rest)
+                self.step = min(2 * self.step, self.window.step)
+            try:
+                got = self.unpack.decompress(self.rest, n)
+            except zlib.error as e:
+                self.failed = f"gzip: {e}"[:80]
+                return self._until_failure()
+            self.rest = self.unpack.unconsumed_tail
+            if self.unpack.eof:
+                self.fed -= len(self.unpack.unused_data)
+            if got:
+                self.given += len(got)
+                return got
+        return b""
+
+    def _until_failure(self) -> bytes:
+        """What the last step holds before the place where it fails."""
+        out = []
         try:
-            data.append(unpack.decompress(window.buf[fed:]))
-        except zlib.error as e:
-            return f"gzip: {e}"[:80]
-        fed = len(window.buf)
-        if unpack.eof:
-            return b"".join(data), fed - len(unpack.unused_data)
-        if not window.more():
-            return "gzip: ends early"
-
-
-def _at(window: _Window) -> tuple[dict[str, str], bytes, int] | str:
-    """The record at the window's start with its length in the file, or why there is none."""
-    while len(window.buf) < len(VERSION) and window.more():
-        pass
-    if window.buf.startswith(GZIP):
-        got = _member(window)
-        if isinstance(got, str):
-            return got
-        record = parse_record(got[0])
-        if record is None or record[2] != len(got[0]):
-            return "member holds no whole record"
-        return _check(record[0], record[1]) or (record[0], record[1], got[1])
-    if window.buf.startswith(VERSION):
-        while True:
-            record = parse_record(window.buf)
-            if record is not None:
-                return _check(record[0], record[1]) or record
-            if not _incomplete(window.buf) or not window.more():
-                return "no whole record"
-    return "no record"
+            for at in range(self.last, self.fed):
+                out.append(self.before.decompress(self.window.buf[at : at + 1]))
+        except zlib.error:
+            pass
+        return b"".join(out)[self.given :]
+
+    def settle(self) -> None:
+        self.window.skip(self.last)
+        self.fed, self.last = self.fed - self.last, 0
 
 
 def _incomplete(data: bytes) -> bool:
     """Whether more bytes could make the plain record at the start whole."""
     end = data.find(b"\r\n\r\n")
+    lines = data[: end if end >= 0 else data.rfind(b"\r\n") + 1 or None].split(b"\r\n")
+    whole = lines if end >= 0 else lines[:-1]
+    if any(b":" not in line for line in whole[1:]):
+        return False
     if end < 0:
-        return len(data) < 1 << 20
-    for line in data[:end].split(b"\r\n"):
+        return True
+    for line in lines:
         name, _, value = line.partition(b":")
         if name.strip().lower() == b"content-length" and value.strip().isdigit():
             return len(data) < end + 4 + int(value) + 4
     return False
 
 
+def _plain(window: _Window) -> tuple[dict[str, str], bytes, int] | str:
+    """The record at the window's start with its length, or why there is none."""
+    while True:
+        record = parse_record(window.buf)
+        if record is not None:
+            return _check(record[0], record[1]) or record
+        if not _incomplete(window.buf) or not window.more():
+            return "no whole record"
+
+
+def _of_member(window: _Window) -> Iterator[tuple]:
+    """Records and inner gaps of the gzip member at the window's start; goes past what was read."""
+    start, member, held, records, told = window.pos, _Inflated(window), [], 0, False
+    for item in salvage(member):
+        if len(item) == 4:
+            records += 1
+            member.settle()
+        if records and (records > 1 or len(item) == 3):
+            yield from held
+            told, held = told or bool(held), []
+        held.append((start, *item[1:]))
+    window.failed = member.failed or ("" if records else "member holds no whole record")
+    if not records:
+        window.failed_at = start
+        window.skip(1)
+    elif member.failed:
+        # what it breaks off in is part of the gap that begins here
+        yield from (x for x in held if len(x) == 4)
+        window.failed_at = window.pos
+        window.skip(max(1, member.last))
+    else:
+        if records == 1 and not told and len(held) == 1:
+            held = [(start, window.pos + member.fed - start, *held[0][2:])]
+        yield from held
+        window.skip(member.fed)
+
+
+def _of_file(window: _Window) -> Iterator[tuple]:
+    """The plain record at the window's start, if it is whole and valid."""
+    got: tuple | str = "no record"
+    if window.buf.startswith(VERSION):
+        got = _plain(window)
+    if isinstance(got, str):
+        window.failed, window.failed_at = got, window.pos
+        window.skip(1)
+        return
+    yield window.pos, got[2], got[0], got[1]
+    window.failed = ""
+    window.skip(got[2])
+
+
 def salvage(stream) -> Iterator[tuple[int, int, dict[str, str], bytes] | tuple[int, int, str]]:
     """Records of an archive (start, length, headers, block) and gaps (start, length, reason).
 
     After a failed check the reader looks for the next place where a gzip member or a
     version line starts a whole, valid record, goes on from there and reports the
-    bytes between as one gap.  Works over a sliding window: memory is bounded by the
-    largest record.
+    bytes between as one gap.  A member may hold several records, and damaged stretches
+    between them: it is unpacked step by step and read in the same way.  The only record
+    of a member has the member's place and length; others, and gaps within a member, have
+    the member's start and their own length.  What a member that breaks off held before
+    is kept.
+
+    Works over a sliding window: memory is bounded by the largest record, or the
+    largest that a header claims.
     """
     window, gap, why = _Window(stream), None, ""
     while window.buf or window.more():
-        got = _at(window)
-        if not isinstance(got, str):
+        while len(window.buf) < len(VERSION) and window.more():
+            pass
+        start = window.pos
+        for item in _of_member(window) if window.buf.startswith(GZIP) else _of_file(window):
             if gap is not None:
-                yield gap, window.pos - gap, why
+                yield gap, start - gap, why
                 gap = None
-            headers, block, length = got
-            yield window.pos, length, headers, block
-            window.skip(length)
+            yield item
+        if not window.failed:
             continue
         if gap is None:
-            gap, why = window.pos, got
-        window.skip(1)
+            gap, why = window.failed_at, window.failed
         while True:
             starts = [i for i in (window.buf.find(GZIP), window.buf.find(VERSION)) if i >= 0]
             if starts:
@@ -303,25 +380,31 @@ def archive_pages(
     verdict.  Other columns are ignored; an empty table gives no archive.
     """
     html = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
-    rows = pages.select(
-        F.col(id_col).alias("id"), F.col(url_col).alias("target_uri"), html.alias("payload")
-    ).withColumns({"sha": F.sha1("payload"), "payload_bytes": F.octet_length("payload").cast("long")})
-    largest = (
-        pages.select(F.col(id_col).alias("id"), F.sha1(html).alias("sha"))
-        .groupBy("sha")
-        .agg(F.max("id").alias("first_id"))
+    rows = written(
+        pages.select(
+            F.col(id_col).alias("id"),
+            F.col(url_col).alias("target_uri"),
+            F.sha1(html).alias("sha"),
+            F.octet_length(html).cast("long").alias("payload_bytes"),
+        ),
+        "warc-rows",
     )
-    first = rows.join(largest, "sha")
+    largest = rows.groupBy("sha").agg(F.max("id").alias("first_id"))
     revisit = (F.col("payload_bytes") >= least_bytes) & ~F.col("id").eqNullSafe(F.col("first_id"))
+    judged = join_summary(rows, "sha", largest).withColumn("_revisit", revisit)
+    # one payload a digest and map task goes on, to the responses alone
+    payloads = pages.select(F.sha1(html).alias("sha"), html.alias("payload")).groupBy("sha").agg(F.first("payload").alias("payload"))
+    responses = judged.where("NOT _revisit").join(payloads, "sha")
+    both = judged.where("_revisit").withColumn("payload", F.lit(None).cast("binary")).unionByName(responses)
     return write_warc(
-        first.select(
+        both.select(
             F.concat(F.lit(ID_PREFIX), F.coalesce(F.col("id").cast("string"), F.lit(""))).alias("record_id"),
             "target_uri",
-            F.when(revisit, "revisit").otherwise("response").alias("warc_type"),
-            F.when(revisit, F.concat(F.lit(ID_PREFIX), F.col("first_id").cast("string"))).alias("refers_to"),
+            F.when(F.col("_revisit"), "revisit").otherwise("response").alias("warc_type"),
+            F.when(F.col("_revisit"), F.concat(F.lit(ID_PREFIX), F.col("first_id").cast("string"))).alias("refers_to"),
             base32(F.col("sha")).alias("payload_digest"),
             "payload_bytes",
-            F.when(~revisit, F.col("payload")).alias("payload"),
+            "payload",
         ),
         folder,
     )
@@ -346,10 +429,40 @@ def base32(hex_digest):
     return F.array_join(letters, "")
 
 
+class DamagedArchive(RuntimeError):
+    """Fewer records came back than were written; the table at ``gaps`` lists what was quarantined."""
+
+    def __init__(self, written_records: int, read_records: int, gaps: str) -> None:
+        super().__init__(f"{read_records} of {written_records} records read back; gaps are listed in {gaps}")
+        self.gaps = gaps
+
+
+def read_back(spark: SparkSession, manifest: DataFrame, strict: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(records, gaps) of the archives of a manifest, without payloads.
+
+    Both are written once; gaps have ``path``, ``start``, ``length``, ``reason``.  With
+    ``strict`` it is an error if the records are not as many as the manifest says.
+    """
+    path = fresh_path(spark, "warc-read")
+    read_warc(manifest, keep_payload=False).drop("payload").write.partitionBy("kind").parquet(path)
+    # read as declared, since either kind may have no rows
+    stored = spark.read.schema(RECORD_SCHEMA.replace(" payload binary,", "")).parquet(path)
+    gaps = stored.where("kind = 'gap'").select("path", "start", "length", "reason")
+    records = stored.where("kind = 'record'")
+    want = manifest.agg(F.sum("records").alias("n")).head()["n"] or 0
+    got = records.count()
+    if strict and got != want:
+        raise DamagedArchive(want, got, f"{path}/kind=gap")
+    return records, gaps
+
+
 def pages_round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """Archive the pages in the shared folder and read the archives back."""
-    manifest = archive_pages(pages, fresh_path(spark, "warc"))
-    records = read_warc(manifest, keep_payload=False).where("kind = 'record'")
+    """Archive the pages in the shared folder and read the archives back.
+
+    A page that does not come back is an error (`read_back`), whose message names the
+    table of gaps.
+    """
+    records, _ = read_back(spark, archive_pages(pages, fresh_path(spark, "warc")))
 
     def page(c: str):
         # a page without an id has nothing after the prefix
