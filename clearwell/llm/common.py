@@ -21,11 +21,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The folder of ``spark.checkpoint.dir``.
+
+    Where it is unset, a temporary one in a local session; on a cluster that is an error,
+    since executors would not see each other's files.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="clearwell-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set")
+        made = spark.sparkContext.getCheckpointDir()
+        folder = made or "file://" + tempfile.mkdtemp(prefix="clearwell-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -61,6 +67,8 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
 
 def per_worker(kind: str, key: str, make: Callable[[], Any]) -> Any:
     """One object of a kind in a Python worker, kept from task to task while the key stays."""
+    # this module is shipped by value, a copy a task, so what should outlive a task is kept
+    # in a module of its own
     name = "clearwell_worker_objects"
     kept = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
     if kept.get(kind, (None, None))[0] != key:

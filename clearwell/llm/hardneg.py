@@ -12,24 +12,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearwell.llm.common import written
-from clearwell.llm.topk import quantised
+from clearwell.llm.vectors import Best, list_parts, matrices, narrowed, products, quantised
 
 #: Added to either end of a range, far above the error of a computed angle.
 SLACK = 1e-6
 
 
-def exact_type(a: np.ndarray, b: np.ndarray):
-    """The fastest number type in which all inner products are exact."""
-    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, b.shape[1])
-    return np.float32 if most < 2**24 else np.float64 if most < 2**53 else np.int64
-
-
-def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of the rows of two integer matrices, as int64."""
-    kind = exact_type(a, b)
-    return (a.astype(kind) @ b.astype(kind).T).astype(np.int64)
-
-
 class Sphere:
     """Angles between vectors lifted onto a sphere of radius ``reach``, the greatest norm.
 
@@ -113,39 +101,6 @@ def meets(angle: np.ndarray, inner: np.ndarray, outer: np.ndarray, low: np.ndarr
     return (least <= high) & (most >= low)
 
 
-class Best:
-    """The ``k`` best (score, then least id) rows of every window, gathered piece by piece."""
-
-    def __init__(self, windows: int, k: int) -> None:
-        self.k, self.floor = k, np.full(windows, np.iinfo(np.int64).min)
-        self.window, self.score, self.row = (np.zeros(0, np.int64) for _ in range(3))
-        self.pieces: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.pending = 0
-
-    def add(self, window: np.ndarray, score: np.ndarray, row: np.ndarray) -> None:
-        if len(window):
-            self.pieces.append((window, score, row))
-            self.pending += len(window)
-            if self.pending > 4096 + len(self.window) // 2:
-                self.settle()
-
-    def settle(self) -> None:
-        """Keep the best; the k-th score of a full window is its floor from now on."""
-        if not self.pieces:
-            return
-        window, score, row = (np.concatenate(c) for c in zip((self.window, self.score, self.row), *self.pieces, strict=True))
-        self.pieces, self.pending = [], 0
-        order = np.lexsort((row, -score, window))
-        window, score, row = window[order], score[order], row[order]
-        first = np.concatenate([[True], window[1:] != window[:-1]])
-        begin = np.maximum.accumulate(np.where(first, np.arange(len(window)), 0))
-        place = np.arange(len(window)) - begin
-        keep = place < self.k
-        full = place == self.k - 1
-        self.floor[window[full]] = score[full]
-        self.window, self.score, self.row = window[keep], score[keep], row[keep]
-
-
 @dataclass
 class Queries:
     """Anchors, and windows of scores [low, high] around them, ``k`` rows wanted in each.
@@ -225,31 +180,6 @@ class Search:
         self.best.add(w[which], scores[which, row], ids[start + row])
 
 
-def _vectors(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(flat values, starts, sizes) of a column of lists."""
-    if isinstance(column, pa.ChunkedArray):
-        column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.list_(pa.int64()))
-    offsets = column.offsets.to_numpy()
-    return column.values.to_numpy(zero_copy_only=False), offsets[:-1], np.diff(offsets)
-
-
-def _matrices(part: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(ids, labels, vectors) by vector length."""
-    flat, starts, sizes = _vectors(part.column("v"))
-    ids, labels = part.column("id").to_numpy(), part.column("label").to_numpy()
-    return {
-        int(size): (ids[own], labels[own], flat[starts[own][:, None] + np.arange(size)[None, :]])
-        for size in np.unique(sizes)
-        for own in [np.flatnonzero(sizes == size)]
-    }
-
-
-def _narrow(x: np.ndarray) -> np.ndarray:
-    """The same integers in the smallest type that holds them."""
-    most = int(max(x.max(initial=0), -x.min(initial=0) - 1))
-    return x.astype(next(t for t in (np.int8, np.int16, np.int32, np.int64) if most <= np.iinfo(t).max))
-
-
 def build_index(rows: DataFrame, sample: pa.Table, reach: float, split_points: int, block_rows: int, fan_out: int, leaf_rows: int) -> tuple[DataFrame, dict[int, np.ndarray]]:
     """A table of blocks, each one row: at most about ``block_rows`` rows and the tree over them.
 
@@ -258,12 +188,12 @@ def build_index(rows: DataFrame, sample: pa.Table, reach: float, split_points: i
     """
     sphere = Sphere(reach)
     points = {
-        size: x[far_apart(sphere, x, max(1, min(split_points, len(x) // 8)))] for size, (_, _, x) in _matrices(sample).items()
+        size: x[far_apart(sphere, x, max(1, min(split_points, len(x) // 8)))] for size, (_, _, x) in matrices(sample).items()
     }
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat, starts, sizes = _vectors(batch.column(2))
+            flat, starts, sizes = list_parts(batch.column(2))
             part = np.zeros(batch.num_rows, np.int64)
             for size, own_points in points.items():
                 own = np.flatnonzero(sizes == size)
@@ -287,11 +217,11 @@ def build_index(rows: DataFrame, sample: pa.Table, reach: float, split_points: i
 
     def build(block: pa.Table) -> pa.Table:
         block = block.sort_by("id")
-        ((size, (ids, labels, x)),) = _matrices(block).items()
+        ((size, (ids, labels, x)),) = matrices(block).items()
         order, tree = plant(sphere, x, fan_out, leaf_rows)
         above = points.get(size, x[:0])
         angles = sphere.between(above, x) if len(above) else np.zeros((0, len(x)))
-        content = (ids[order], labels[order], _narrow(x[order]), tree, angles.min(axis=1), angles.max(axis=1))
+        content = (ids[order], labels[order], narrowed(x[order]), tree, angles.min(axis=1), angles.max(axis=1))
         return pa.table({"dims": pa.array([size], pa.int64()), "block": pa.array([pickle.dumps(content)], pa.binary())})
 
     blocks = (
@@ -395,7 +325,7 @@ def mine_hard_negatives(
     out = spark.createDataFrame([], shape)
     for batch in range(batches):
         mine = is_anchor & (F.pmod(F.xxhash64(F.lit(29), "id"), F.lit(batches)) == batch)
-        anchors = _matrices(rows.where(mine).toArrow())
+        anchors = matrices(rows.where(mine).toArrow())
         if anchors:
             out = out.unionByName(_mine_batch(index, points, reach, anchors, positives, negatives, low, high))
     return out

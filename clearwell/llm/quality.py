@@ -151,7 +151,8 @@ def fit_quality(
         .select("label", _dot(weights, F.col("x")).alias("s"))
     )
     marks = [i / quantiles for i in range(1, quantiles)]
-    grid = sorted(set(scored.agg(F.percentile_approx("s", marks, 20_000).alias("q")).head()["q"] or []))
+    marked = scored.agg(F.percentile_approx("s", marks, 20_000).alias("q"), F.min("s").alias("least")).head()
+    grid = sorted(set(marked["q"] or []))
     if not grid:
         return QualityModel(tuple(map(float, weights)), 0.0)
     place = F.size(F.filter(F.array(*map(F.lit, grid)), lambda q: q <= F.col("s")))
@@ -163,7 +164,7 @@ def fit_quality(
     wrong = np.concatenate([[0], np.cumsum(ones)])[:-1] + zeros.sum() - np.concatenate([[0], np.cumsum(zeros)])[:-1]
     best = np.flatnonzero(wrong[1:] == wrong[1:].min())
     k = int(best[0])
-    lower = grid[k - 1] if k else grid[k] - 1.0
+    lower = grid[k - 1] if k else marked["least"]
     return QualityModel(tuple(map(float, weights)), float((lower + grid[k]) / 2))
 
 

@@ -2,117 +2,175 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import pickle
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearwell.llm.common import written
+from clearwell.llm.vectors import Best, exact_type, list_parts, narrowed, products, quantised
 
+#: Depths, as shares of a list, after which bounds are compared.
+DEPTHS = (1 / 4, 3 / 8, 1 / 2, 5 / 8, 3 / 4, 7 / 8)
 
-def quantised(vector: Column, scale: int) -> Column:
-    """floor(scale * x) of every component as long; null if the vector takes no part."""
-    usable = (
-        vector.isNotNull()
-        & (F.size(vector) > 0)
-        & F.forall(
-            vector,
-            lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < F.lit(float("inf"))),
-        )
-    )
-    return F.when(usable, F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long")))
-
-
-def _number_type(queries: np.ndarray, rows: np.ndarray):
-    """The fastest type in which all sums are exact."""
-    most = float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * rows.shape[1]
-    return np.float32 if most < 2**24 else np.float64 if most < 2**53 else np.int64
-
-
-def nra_top_k(
-    queries: np.ndarray,
-    query_ids: np.ndarray,
-    rows: np.ndarray,
-    row_ids: np.ndarray,
-    k: int,
-    depths: Sequence[float] = (1 / 2, 3 / 4),
-    settle: int = 8,
-) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query (position, row ids, scores) of the k best rows other than itself.
-
-    Every component is a list of rows sorted by value, read from the top for a
-    positive query component and from the bottom for a negative one.  After reading
-    each list to a depth, a row's lower bound takes the list's last value where the
-    row has not come up yet, its upper bound the value read last.  Rows whose upper
-    bound is below the k-th lower bound are outsiders; a query stops reading when at
-    most ``settle`` * k rows are left, and their scores are resolved.  Queries that
-    never stop read the lists to the end, where both bounds are the score.  All
-    queries of a block share the sorted lists, and bounds are matrix products.
+
+class SortedLists:
+    """A block of rows as one list a component: (row, value), sorted by value.
+
+    A list is read from its top for queries with a positive component there and from its
+    bottom for the others.  ``high`` holds what has been read from the tops, and for a row
+    that has not come up in a list yet the value read last, which bounds it; ``low``
+    the same from the bottoms.
     """
-    kind = _number_type(queries, rows)
-    n = len(rows)
-    x, q = rows.astype(kind), queries.astype(kind)
-    own = query_ids[:, None] == row_ids[None, :]
-    out: list[tuple[int, np.ndarray, np.ndarray]] = []
-
-    def settle_query(i: int, left: np.ndarray, scores: np.ndarray) -> None:
-        best = np.lexsort((row_ids[left], -scores))[:k]
-        out.append((i, row_ids[left[best]], scores[best].astype(np.int64)))
-
-    lists = np.sort(x, axis=0)
-    reading = np.arange(len(q))
-    for depth in depths:
-        read = int(np.ceil(depth * n))
-        if not len(reading) or read >= n or n <= settle * k:
-            break
-        up, down = np.maximum(q[reading], 0), np.minimum(q[reading], 0)
-        top, bottom = lists[n - read], lists[read - 1]
-        upper = up @ np.maximum(x, top).T + down @ np.minimum(x, bottom).T
-        lower = up @ np.where(x >= top, x, lists[0]).T + down @ np.where(x <= bottom, x, lists[-1]).T
-        if np.issubdtype(kind, np.floating):
-            upper[own[reading]], lower[own[reading]] = -np.inf, -np.inf
-        else:
-            least = np.iinfo(kind).min
-            upper[own[reading]], lower[own[reading]] = least, least
-        kth = np.partition(lower, n - k, axis=1)[:, n - k]
-        inside = (upper >= kth[:, None]) & ~own[reading]
-        few = inside.sum(axis=1) <= settle * k
-        for at in np.flatnonzero(few):
-            left = np.flatnonzero(inside[at])
-            settle_query(int(reading[at]), left, x[left] @ q[reading[at]])
-        reading = reading[~few]
-    if len(reading):
-        scores = q[reading] @ x.T
-        for at, i in enumerate(reading):
-            others = np.flatnonzero(~own[i])
-            mine = scores[at, others]
-            if len(others) > k:
-                kth = np.partition(mine, len(mine) - k)[len(mine) - k]
-                others, mine = others[mine >= kth], mine[mine >= kth]
-            settle_query(int(i), others, mine)
-    return out
 
+    def __init__(self, order: np.ndarray, values: np.ndarray) -> None:
+        self.order, self.values = order, values  # lists by rows, least value first
+        self.n = order.shape[1]
+
+    @classmethod
+    def of(cls, x: np.ndarray) -> SortedLists:
+        order = np.argsort(x, axis=0, kind="stable").T
+        small = np.int16 if len(x) < 1 << 15 else np.int64
+        return cls(order.astype(small), narrowed(np.take_along_axis(x.T, order, axis=1)))
+
+    def read(self, count: int) -> tuple[np.ndarray, np.ndarray]:
+        """(high, low) after ``count`` entries of each list from either end."""
+        shape = (self.n, len(self.order))
+        high = np.repeat(self.values[:, self.n - count][None, :], self.n, axis=0)
+        low = np.repeat(self.values[:, count - 1][None, :], self.n, axis=0)
+        assert high.shape == shape
+        for j, (rows, values) in enumerate(zip(self.order, self.values, strict=True)):
+            high[rows[self.n - count :], j] = values[self.n - count :]
+            low[rows[:count], j] = values[:count]
+        return high, low
+
+    def rows(self, which: np.ndarray) -> np.ndarray:
+        """Whole rows, for those whose scores are resolved."""
+        x = np.empty((len(self.order), self.n), self.values.dtype)
+        np.put_along_axis(x, self.order.astype(np.int64), self.values, axis=1)
+        return x.T[which]
+
+
+class Aggregation:
+    """The k best rows of every query over blocks of sorted lists, one block after the other.
+
+    After each depth a row's upper bound takes the value read last for what has not come up,
+    its lower bound the list's last value.  Rows whose upper bound is below the k-th
+    score known are outsiders: the k-th best score of the blocks before, or the k-th
+    lower bound of this one if that is higher.  A query stops reading when at most
+    ``settle`` * k rows are no outsiders, and their scores are resolved; the others read to
+    the end, where both bounds are the score.  ``floor`` may give a score that k rows
+    of the table reach.
+    """
+
+    def __init__(
+        self,
+        ids: np.ndarray,
+        x: np.ndarray,
+        k: int,
+        floor: np.ndarray | None = None,
+        depths: Sequence[float] = DEPTHS,
+        settle: int = 4,
+        together: int = 512,
+    ) -> None:
+        self.ids, self.x, self.k = ids, x, k
+        self.depths, self.settle, self.together = depths, settle, together
+        self.best = Best(len(ids), k)
+        if floor is not None:
+            self.best.floor = np.maximum(self.best.floor, floor)
+        self.entries = self.entries_read = self.searches = self.stopped = 0
+
+    def block(self, row_ids: np.ndarray, lists: SortedLists) -> None:
+        everything = lists.rows(np.arange(lists.n))
+        read = {}
+        for at in range(0, len(self.ids), self.together):
+            self._search(np.arange(at, min(at + self.together, len(self.ids))), row_ids, lists, everything, read)
+        self.best.settle()
 
-def _unpacked(part: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+    def _search(self, reading: np.ndarray, row_ids, lists: SortedLists, x: np.ndarray, read: dict) -> None:
+        n = lists.n
+        kind = exact_type(self.x[reading], x)
+        self.searches += len(reading)
+        self.entries += len(reading) * x.size
+        rows = np.arange(n)  # that may be no outsiders for some query
+        for depth in self.depths:
+            count = int(np.ceil(depth * n))
+            if not len(reading) or count >= n:
+                break
+            if count not in read:
+                read[count] = [side.astype(kind) for side in lists.read(count)]
+            high, low = (side[rows].astype(kind, copy=False) for side in read[count])
+            q = self.x[reading].astype(kind)
+            up, down = np.maximum(q, 0), np.minimum(q, 0)
+            own = self.ids[reading][:, None] == row_ids[rows][None, :]
+            upper = up @ high.T + down @ low.T
+            known = self.best.floor[reading]
+            new = known == np.iinfo(np.int64).min
+            if new.any() and len(rows) > self.k:
+                known = known.copy()
+                known[new] = self._kth_lower(up[new], down[new], high, low, own[new], lists)
+            inside = (upper >= known[:, None].astype(np.float64)) & ~own
+            few = inside.sum(axis=1) <= self.settle * self.k
+            if few.any():
+                done, at = np.nonzero(inside[few])
+                self._resolve(reading[few], done, rows[at], row_ids, x)
+                self.entries_read += int(few.sum()) * count * x.shape[1]
+                self.stopped += int(few.sum())
+                reading, inside = reading[~few], inside[~few]
+            rows = rows[inside.any(axis=0)]
+        if len(reading):
+            self.entries_read += len(reading) * x.size
+            scores = products(self.x[reading], x[rows])
+            fits = (scores >= self.best.floor[reading][:, None]) & (self.ids[reading][:, None] != row_ids[rows][None, :])
+            which, at = np.nonzero(fits)
+            self.best.add(reading[which], scores[which, at], row_ids[rows[at]])
+
+    def _kth_lower(self, up, down, high, low, own, lists: SortedLists) -> np.ndarray:
+        """The k-th greatest lower bound: what has not come up may be the list's last value."""
+        least, most = lists.values[:, 0].astype(high.dtype), lists.values[:, -1].astype(high.dtype)
+        seen_high = np.where(high > high.min(axis=0), high, least)
+        seen_low = np.where(low < low.max(axis=0), low, most)
+        lower = up @ seen_high.T + down @ seen_low.T
+        lower = np.where(own, -np.inf, lower.astype(np.float64))
+        kth = np.partition(lower, lower.shape[1] - self.k, axis=1)[:, lower.shape[1] - self.k]
+        return np.where(np.isfinite(kth), np.floor(kth), np.iinfo(np.int64).min).astype(np.int64)
+
+    def _resolve(self, queries: np.ndarray, which: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, x: np.ndarray) -> None:
+        q = self.x[queries[which]].astype(np.int64)
+        scores = (q * x[rows].astype(np.int64)).sum(axis=1)
+        self.best.add(queries[which], scores, row_ids[rows])
+
+
+def _distinct(part: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """(ids, vectors) by vector length; of rows that repeat an id the first vector in order."""
     ids = part.column("id").to_numpy()
-    lists = part.column("v").combine_chunks()
-    if isinstance(lists, pa.ChunkedArray):
-        lists = pa.concat_arrays(lists.chunks)
-    sizes = np.diff(lists.offsets.to_numpy())
-    flat, starts = lists.values.to_numpy(), lists.offsets.to_numpy()[:-1]
-    out = []
-    for size in np.unique(sizes):
+    flat, starts, sizes = list_parts(part.column("v"))
+    out = {}
+    for size in np.unique(sizes).tolist():
         own = np.flatnonzero(sizes == size)
-        vectors = flat[(starts[own][:, None] + np.arange(size)[None, :])]
+        vectors = flat[starts[own][:, None] + np.arange(size)[None, :]]
         order = np.lexsort([*vectors.T[::-1], ids[own]])
         first = np.unique(ids[own][order], return_index=True)[1]
-        out.append((ids[own][order][first], vectors[order][first]))
+        out[size] = (ids[own][order][first], vectors[order][first])
     return out
 
 
+def _floors(ids: np.ndarray, q: np.ndarray, sample: tuple[np.ndarray, np.ndarray], k: int) -> np.ndarray:
+    """A score that k other rows of the sample reach, for each query; the least number if there are not as many."""
+    floor = np.full(len(ids), np.iinfo(np.int64).min)
+    row_ids, x = sample
+    for at in range(0, len(ids), 1024):
+        scores = products(q[at : at + 1024], x)
+        own = ids[at : at + 1024, None] == row_ids[None, :]
+        scores[own] = np.iinfo(np.int64).min
+        if scores.shape[1] >= k:
+            floor[at : at + 1024] = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
+    return floor
+
+
 def top_k_inner_products(
     vectors: DataFrame,
     k: int = 20,
@@ -120,8 +178,9 @@ def top_k_inner_products(
     every: int = 20,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
-    block_rows: int = 16_384,
-    query_rows: int = 512,
+    block_rows: int = 4_096,
+    fit_rows: int = 2_048,
+    query_bytes: int = 16 << 20,
 ) -> DataFrame:
     """The k rows with the largest inner product for every query row, exactly.
 
@@ -130,16 +189,20 @@ def top_k_inner_products(
     ``query_id``, ``rank`` (from 1), ``vec_id``, ``score``; ties go to the smaller id,
     and a query with fewer than k candidates returns them all.
 
-    Candidates and queries are dealt by hash into blocks of bounded size; each pair of
-    blocks is one group, where `nra_top_k` reads the block's sorted lists.  At most k
-    rows a query and block meet in the final ranking.  A hot vector or a group of
-    copies spreads like any other rows, since blocks go by id.
+    Rows are dealt by hash into blocks of about ``block_rows``, once; a block is a row of a
+    written table that holds its sorted lists.  Queries come to the blocks in batches of
+    at most ``query_bytes`` of vectors, through the driver, as a broadcast variable, with
+    the k-th score that ``fit_rows`` rows of the table give them.  A task reads its
+    blocks one after the other (`Aggregation`) and carries the k-th scores along.  At most
+    k rows a query leave a task.  A hot vector or a group of copies spreads like any other
+    rows, since blocks go by id.
 
     Rows without id or with a null, empty or non-finite vector take no part; vectors
     of another length than the query's are no candidates; an id that repeats counts
     once a length, with its least vector; other columns are ignored; an empty table
     gives no rows.
     """
+    spark = vectors.sparkSession
     rows = written(
         vectors.select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col), scale).alias("v")).where(
             "id IS NOT NULL AND v IS NOT NULL"
@@ -147,38 +210,59 @@ def top_k_inner_products(
         "vectors",
     )
     is_query = F.col("id") % every == 0
-    size = rows.agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("q")).head()
-    blocks, query_blocks = max(1, -(-size["n"] // block_rows)), max(1, -(-size["q"] // query_rows))
-
-    def dealt(df: DataFrame, seed: int, own: str, count: int, other: str, others: int) -> DataFrame:
-        return df.select(
-            "id",
-            "v",
-            F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(count)).alias(own),
-            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(others - 1).cast("long"))).alias(other),
-        ).select("id", "v", "qb", "cb")
-
-    candidates = dealt(rows, 1, "cb", blocks, "qb", query_blocks)
-    queries = dealt(rows.where(is_query), 2, "qb", query_blocks, "cb", blocks)
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
-
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        by_size = {v.shape[1]: (ids, v) for ids, v in _unpacked(right)} if right.num_rows else {}
-        for ids, q in _unpacked(left) if left.num_rows else []:
-            if q.shape[1] not in by_size:
-                continue
-            row_ids, x = by_size[q.shape[1]]
-            for i, found, scores in nra_top_k(q, ids, x, row_ids, k):
-                out.append((np.full(len(found), ids[i]), found, scores))
-        columns = [np.concatenate(c) for c in zip(*out, strict=True)] or [np.zeros(0, np.int64)] * 3
-        return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
-
-    found = (
-        queries.groupBy("qb", "cb")
-        .cogroup(candidates.groupBy("qb", "cb"))
-        .applyInArrow(search, "query_id long, vec_id long, score long")
+    size = rows.agg(
+        F.count("*").alias("n"), F.sum(F.when(is_query, F.size("v")).cast("long")).alias("components")
+    ).head()
+    blocks = max(1, -(-size["n"] // block_rows))
+    tasks = max(1, min(2000, -(-blocks // 2)), -(-blocks // 128))
+
+    def build(part: pa.Table) -> pa.Table:
+        packed = []
+        for length, (ids, x) in _distinct(part).items():
+            lists = SortedLists.of(x)
+            packed.append((length, pickle.dumps((ids, lists.order, lists.values))))
+        return pa.table({"length": pa.array([n for n, _ in packed], pa.int64()), "block": pa.array([b for _, b in packed], pa.binary())})
+
+    lists = written(
+        rows.withColumn("part", F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(blocks)))
+        .repartition(tasks, "part")
+        .groupBy("part")
+        .applyInArrow(build, "length long, block binary"),
+        "top-k-lists",
     )
+    # whole ids, so that one with several vectors has the vector here that it has in a block
+    sample = _distinct(rows.where(F.pmod(F.xxhash64(F.lit(2), "id"), F.lit(max(1, size["n"] // fit_rows))) == 0).limit(2 * fit_rows).toArrow()) if size["n"] else {}
+    batches = max(1, -(-8 * (size["components"] or 0) // query_bytes))
+    out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    for batch in range(batches):
+        mine = is_query & (F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(batches)) == batch)
+        queries = {
+            length: (ids, q, _floors(ids, q, sample[length], k) if length in sample else None)
+            for length, (ids, q) in _distinct(rows.where(mine).toArrow()).items()
+        }
+        if queries:
+            out = out.unionByName(_search_batch(lists, queries, k))
+    return out
+
+
+def _search_batch(lists: DataFrame, queries: dict[int, tuple], k: int) -> DataFrame:
+    known = lists.sparkSession.sparkContext.broadcast(queries)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = {length: Aggregation(ids, q, k, floor) for length, (ids, q, floor) in known.value.items()}
+        for batch in batches:
+            for length, block in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if length in found:
+                    row_ids, order, values = pickle.loads(block.as_buffer())
+                    found[length].block(row_ids, SortedLists(order, values))
+        for done in found.values():
+            best = done.best
+            if len(best.window):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(done.ids[best.window]), pa.array(best.row), pa.array(best.score)], ["query_id", "vec_id", "score"]
+                )
+
+    found = lists.mapInArrow(search, "query_id long, vec_id long, score long").distinct()
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order))

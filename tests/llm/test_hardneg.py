@@ -3,7 +3,8 @@ import pytest
 from compare import compare, connect
 
 import __spark_entry__ as entry
-from clearwell.llm.hardneg import Best, Queries, Search, Sphere, mine_hard_negatives, plant
+from clearwell.llm.hardneg import Queries, Search, Sphere, mine_hard_negatives, plant
+from clearwell.llm.vectors import Best
 
 SF = "/root/testdata/sf0.001"
 
