@@ -1155,6 +1155,10 @@ def oracle_sql() -> dict[str, str]:
     found["source_csv_tables"] = scan("orders")
     found["source_json_declared"] = found["source_json_array"] = scan("delivery_events")
     found["reject_malformed"] = reject_malformed()
+    found["source_splits"] = (
+        "SELECT scan, n AS n_rows, n AS n_held, 0 AS n_repeated, true AS is_even"
+        " FROM (SELECT count(*) AS n FROM lineitem), (VALUES ('order'), ('hot'), ('day'), ('price')) t(scan)"
+    )
     found["source_json_inferred"] = found["source_documents"] = scan("reviews")
     found["sink_rejects"] = reject_envelope()
     found["sink_gold"] = found["sink_published"] = table("sales_by_product")

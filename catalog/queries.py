@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalog.bronze import TABLES, bronze, spark_table
+from catalog.bronze import read as source_table
 from clearwell.functions import normalize as N
 from clearwell.functions import vocab as V
 from clearwell.operators import duplicates, rejects, silver
 from clearwell.operators import summaries as S
 from clearwell.plans import controls, gold, quality, reports
 from clearwell.plans.entities import ENTITIES
-from clearwell.sources import drift, json_arrays, publish, readers, sinks
+from clearwell.sources import drift, json_arrays, publish, readers, sinks, splits
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -228,6 +229,38 @@ def reject_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def source_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scan plans of the order lines by keys with gaps and heavy values.
+
+    For each: rows, rows that the predicates hold, rows that several hold, and whether no
+    part has more than twice its share.
+    """
+    lines = source_table(spark, sf_dir, "lineitem").withColumns(
+        {
+            # a third of all lines has one key; the others lie far apart
+            "hot": F.when(F.col("l_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("l_orderkey") * F.col("l_orderkey")),
+            "day": F.when(F.col("l_linenumber") != 5, F.col("l_shipdate").cast("date")),
+        }
+    )
+    parts = []
+    for name, column, then, n in (
+        ("order", "l_orderkey", None, 16), ("hot", "hot", "l_partkey", 12), ("day", "day", None, 10), ("price", "l_extendedprice", None, 7),
+    ):
+        predicates = splits.plan_splits(lines, column, n, then)
+        held = [F.expr(p).cast("int") for p in predicates]
+        nulls = F.col(column).isNull()
+        times = reduce(Column.__add__, [F.coalesce(h, F.lit(0)) for h in held])
+        parts.append(
+            lines.agg(
+                F.count(F.lit(1)).alias("n_rows"),
+                F.count_if(times >= 1).alias("n_held"),
+                F.count_if(times > 1).alias("n_repeated"),
+                (F.greatest(*[F.sum(F.when(~nulls, h)) for h in held]) <= 2 * F.count(F.lit(1)) / n).alias("is_even"),
+            ).select(F.lit(name).alias("scan"), "*")
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def source_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reviews through the connector reader, by format name and required options."""
     path = _folder(spark, "documents")
@@ -507,7 +540,7 @@ def _report(name: str) -> Query:
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {f"scan_{e}": _scan(e) for e in TABLES}
     for query in (
-        source_csv_tables, source_json_declared, source_json_inferred, source_json_array, source_documents, reject_malformed,
+        source_csv_tables, source_json_declared, source_json_inferred, source_json_array, source_splits, source_documents, reject_malformed,
         sink_rejects, sink_gold, sink_published, sink_validation, sink_sql_results,
     ):
         found[query.__name__] = query

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from clearwell.operators.silver import MALFORMED
 from clearwell.plans.entities import DELIVERY_EVENTS, ENTITIES
-from clearwell.sources import json_arrays, sinks
+from clearwell.sources import json_arrays, sinks, splits
 
 
 @dataclass(frozen=True)
@@ -84,6 +84,29 @@ def read_jdbc(
     return spark.read.format("jdbc").options(**options).load()
 
 
+def read_jdbc_split(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    column: str,
+    parts: int,
+    then: str | None = None,
+    sample: str = "",
+    **connection: str,
+) -> DataFrame:
+    """A table read in ``parts`` of about equal rows, whatever its keys (`splits.plan_splits`).
+
+    A first pass fetches the keys alone, in one task; ``sample`` is what the database
+    takes after the table's name to give some of them (``TABLESAMPLE SYSTEM (1)``).
+    """
+    listed = ", ".join([column, *([then] if then else [])])
+    keys = read_jdbc(spark, url, single_task=True, query=f"SELECT {listed} FROM {table} {sample}".rstrip(), **connection)
+    # the planner reads the keys more than once
+    stored = sinks.stage_tables({"keys": keys}, f"{sinks.shared_dir(spark)}/split-keys-{uuid4().hex}")["keys"]
+    predicates = splits.plan_splits(stored, column, parts, then)
+    return spark.read.jdbc(url, table, predicates=predicates, properties=dict(connection))
+
+
 def run_jdbc_reports(
     spark: SparkSession, url: str, catalogue: Mapping[str, str], **connection: str
 ) -> dict[str, DataFrame]:
