@@ -1187,4 +1187,6 @@ def oracle_sql() -> dict[str, str]:
     found["validation_results"] = validation()
     found["quality_score"] = quality_score()
     found |= reports()
+    for name in ("monthly_revenue", "top_customers"):
+        found[f"report_file_{name}"] = found[f"report_{name}"]
     return found

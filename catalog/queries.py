@@ -23,7 +23,7 @@ from clearwell.functions import normalize as N
 from clearwell.functions import vocab as V
 from clearwell.operators import duplicates, rejects, silver
 from clearwell.operators import summaries as S
-from clearwell.plans import controls, gold, quality, reports
+from clearwell.plans import controls, dialect, gold, quality, reports
 from clearwell.plans.entities import ENTITIES
 from clearwell.sources import drift, json_arrays, publish, readers, sinks, splits
 
@@ -537,6 +537,43 @@ def _report(name: str) -> Query:
     return lambda spark, d: portable(reports.report(spark, bronze(spark, d), name))
 
 
+#: Reports as the files of the database have them.
+REPORT_FILES = {
+    "monthly_revenue": r"""
+        WITH days AS (
+            SELECT total_amount, UPPER(TRIM(status)) AS state, CASE
+                WHEN TRIM(order_date) ~ '^\d{2}/\d{2}/\d{4}$' THEN TO_DATE(TRIM(order_date), 'DD/MM/YYYY')
+                WHEN TRIM(order_date) ~ '^\d{4}-\d{2}-\d{2}$' THEN TO_DATE(TRIM(order_date), 'YYYY-MM-DD')
+                WHEN TRIM(order_date) ~ '^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}$'
+                    THEN TO_TIMESTAMP(REPLACE(TRIM(order_date), 'T', ' '), 'YYYY-MM-DD HH24:MI:SS')::date
+                END AS day
+            FROM orders
+        )
+        SELECT DATE_TRUNC('month', day)::date AS order_month, COUNT(*) AS number_of_orders,
+               COALESCE(SUM(total_amount), 0) AS monthly_revenue, ROUND(COALESCE(AVG(total_amount), 0), 2) AS average_order_amount
+        FROM days
+        WHERE day IS NOT NULL AND COALESCE(state, '') NOT IN ('CANCELLED', 'ANNULÉE', 'ANNULEE')
+        GROUP BY DATE_TRUNC('month', day) ORDER BY order_month;
+    """,
+    "top_customers": """
+        SELECT o.customer_id, CONCAT(c.first_name, ' ', c.last_name) AS "full_name",
+               COUNT(DISTINCT o.order_id) AS number_of_orders, SUM(o.total_amount) AS total_spent
+        FROM orders o LEFT JOIN customers c ON o.customer_id = c.customer_id
+        GROUP BY o.customer_id, c.first_name, c.last_name
+        ORDER BY total_spent DESC, o.customer_id, full_name LIMIT 10
+    """,
+}
+
+
+def _report_file(name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        views = reports.raw_views(bronze(spark, sf_dir))
+        run = reports.run_reports(spark, views, {name: dialect.to_spark(REPORT_FILES[name])})
+        return portable(run.results[name])
+
+    return query
+
+
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {f"scan_{e}": _scan(e) for e in TABLES}
     for query in (
@@ -577,4 +614,5 @@ def queries() -> dict[str, Query]:
     found["validation_results"] = validation_results
     found["quality_score"] = quality_score
     found |= {f"report_{name[3:]}": _report(name) for name in reports.REPORTS}
+    found |= {f"report_file_{name}": _report_file(name) for name in REPORT_FILES}
     return found

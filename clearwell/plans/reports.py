@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearwell.operators.silver import MALFORMED
+from clearwell.plans import dialect
 from clearwell.sources import sinks
 
 # Declared numeric columns of the relational tables.  Everything else, the order
@@ -190,14 +191,23 @@ def tidy(sql: str) -> str:
     return sql.strip().rstrip(";").rstrip()
 
 
-def load_catalogue(directory: str) -> dict[str, str]:
-    """Report texts of a directory: every ``*.sql``, by name, keyed by stem."""
+def load_catalogue(directory: str, database_dialect: bool = False) -> dict[str, str]:
+    """Report texts of a directory: every ``*.sql``, by name, keyed by stem.
+
+    With ``database_dialect`` they are in the dialect of the database and are rewritten;
+    a form that cannot be is an error that names the file.
+    """
     root = Path(directory)
     if not root.is_dir():
         raise FileNotFoundError(directory)
-    return {
-        p.stem: tidy(p.read_text(encoding="utf-8")) for p in sorted(root.glob("*.sql"))
-    }
+    texts = {}
+    for p in sorted(root.glob("*.sql")):
+        text = tidy(p.read_text(encoding="utf-8"))
+        try:
+            texts[p.stem] = dialect.to_spark(text) if database_dialect else text
+        except dialect.Unsupported as e:
+            raise dialect.Unsupported(f"{p.name}: {e}") from e
+    return texts
 
 
 def run_reports(
