@@ -18,6 +18,7 @@ BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 FILTER_BITS = 22
 WINDOW = 1 << 18
+PAIRS_AT_ONCE = 1 << 20
 
 
 def normal(text: str | None) -> str:
@@ -91,10 +92,13 @@ def banded_distance(pattern: np.ndarray, region: np.ndarray, most: int) -> tuple
     return int(ends[best]), best
 
 
-def letters_lacking(pattern: np.ndarray, text: np.ndarray) -> int:
-    """How many letters of the pattern the text has too few of; each costs an edit."""
-    letters, wanted = np.unique(pattern, return_counts=True)
-    have, count = np.unique(text, return_counts=True)
+def letter_counts(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(text, return_counts=True)
+
+
+def letters_lacking(pattern: tuple[np.ndarray, np.ndarray], text: tuple[np.ndarray, np.ndarray]) -> int:
+    """How many letters of the pattern the text has too few of, by their counts; each costs an edit."""
+    (letters, wanted), (have, count) = pattern, text
     at = np.minimum(np.searchsorted(have, letters), max(0, len(have) - 1))
     found = np.where(have[at] == letters, count[at], 0) if len(have) else np.zeros(len(letters), np.int64)
     return int(np.maximum(0, wanted - found).sum())
@@ -163,6 +167,7 @@ class Finder:
         self.hit = np.zeros(1 << FILTER_BITS, dtype=bool)
         self.hit[(index.grams >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
         self.patterns = [codes(t) for t in index.texts]
+        self.letters = [letter_counts(p) for p in self.patterns]
         self.reach = max((len(p) + int(b) for p, b in zip(self.patterns, index.budgets, strict=True)), default=0)
         self.short = [(k, re.compile(rf"(?<!\w){re.escape(index.texts[k])}(?!\w)")) for k in index.short]
 
@@ -221,9 +226,10 @@ class Finder:
         by_item = np.argsort(item, kind="stable")
         item, gram, place = item[by_item], gram[by_item], place[by_item]
         begins = np.flatnonzero(np.concatenate([[True], item[1:] != item[:-1]]))
+        letters = letter_counts(chars)
         for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(item)], strict=True):
             k = int(item[a])
-            if letters_lacking(self.patterns[k], chars) <= index.budgets[k]:
+            if letters_lacking(self.letters[k], letters) <= index.budgets[k]:
                 yield from self._regions(text, chars, k, place[a:b], at, first[gram[a:b]], stop[gram[a:b]])
 
     def _bands(self, k: int, place, at, first, stop, size: int) -> np.ndarray:
@@ -234,6 +240,17 @@ class Finder:
         band, however often its gram stands there.
         """
         wide, m = int(self.index.budgets[k]) + 1, len(self.patterns[k])
+        number = stop - first
+        total = int(number.sum())
+        if total <= PAIRS_AT_ONCE:
+            where = at[np.repeat(first - np.cumsum(number) + number, number) + np.arange(total)]
+            places = np.repeat(place, number)
+            band = (where - places) // wide
+            band, places = np.concatenate([band, band - 1]), np.concatenate([places, places])
+            low = int(band.min())
+            bands, shared = np.unique(np.unique((band - low) * (m + 1) + places) // (m + 1), return_counts=True)
+            return bands[shared >= self.index.least[k]] + low
+        # the same, a place at a time
         base = -m // wide - 2
         shared = np.zeros(size // wide - base + 3, dtype=np.int32)
         for p, a, b in zip(place.tolist(), first.tolist(), stop.tolist(), strict=True):
@@ -267,7 +284,7 @@ class Finder:
             yield k, 0, exact, exact + m
             return
         region = chars[low:high]
-        if exact < 0 and letters_lacking(pattern, region) > budget:
+        if exact < 0 and letters_lacking(self.letters[k], letter_counts(region)) > budget:
             return
         ends = edits_by_end(pattern, region, budget)
         if ends is None:
