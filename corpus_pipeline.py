@@ -40,14 +40,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     documents, each with a class of its own; a row that repeats id and text goes.
     Rows without an id have no class and stay.
     """
-    row = free_name(docs, "row")
-    # sorts by id: twenty digits from 0, then the text
-    number = F.col("doc_id").cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")
-    key = F.concat(F.lpad(number.cast("string"), 20, "0"), F.lit(":"), F.hex(F.xxhash64("text")))
-    rows = docs.where("doc_id IS NOT NULL").withColumn(row, key)
-    classes = jaccard_classes(rows, id_col=row)
+    row, text, several = (free_name(docs, name) for name in ("_row", "_text", "_several"))
+    rows = docs.where("doc_id IS NOT NULL").withColumn(text, F.xxhash64("text"))
+    # ids with several texts; their rows get numbers of their own, beyond all ids
+    repeated = rows.groupBy("doc_id").agg(F.min(text).alias("a"), F.max(text).alias("b")).where("a <> b")
+    repeated = written(repeated.select("doc_id", F.lit(True).alias(several)), "pipeline-repeated-ids")
+    own = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("doc_id", text), 2)
+    key = F.when(F.col(several), own).otherwise(F.col("doc_id").cast("long"))
+    numbered = rows.join(repeated, "doc_id", "left").withColumn(row, key)
+    classes = jaccard_classes(numbered, id_col=row)
     first = classes.where(F.col(row) == F.col("class_id")).select(row).distinct()
-    kept = rows.join(first, row, "left_semi").dropDuplicates([row])
+    kept = numbered.join(first, row, "left_semi").dropDuplicates([row, text])
     return kept.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
