@@ -103,6 +103,7 @@ def test_awkward_pages(spark):
     )
     empty = archive_pages(df.limit(0), fresh_path(spark, "warc-test"))
     assert empty.count() == 0 and read_warc(empty).count() == 0
+    assert pages_round_trip(spark, df.limit(0)).collect() == []
 
 
 def test_small_payloads_may_all_be_responses(spark):
