@@ -36,7 +36,8 @@ def tag_duplicates(stored: DataFrame, key: Sequence[str], recency: Sequence[str]
     in column order stays.  A key with a NULL part has no duplicates.
 
     The newest row is found with combining before the shuffle; the rows then meet one
-    row a key in a join whose heavy keys Spark can split.
+    row a key in a join whose heavy keys Spark can split.  The join sorts by a number of the
+    key first: ids start alike, and numbers differ at once.
     """
     place = F.struct("_metadata.file_path", "_metadata.row_index").alias("_place")
     rows = stored.select("*", place)
@@ -46,8 +47,13 @@ def tag_duplicates(stored: DataFrame, key: Sequence[str], recency: Sequence[str]
         rows.where(_spelled(key).isNotNull())
         .groupBy(*key)
         .agg(F.max(age).alias("_newest"))
-        .select(_spelled(key).alias("_key"), F.col("_newest._place").alias("_kept"))
+        .select(
+            F.xxhash64(_spelled(key)).alias("_key_number"),
+            _spelled(key).alias("_key"),
+            F.col("_newest._place").alias("_kept"),
+        )
     )
-    joined = rows.join(newest, _spelled(key) == F.col("_key"), "left")
+    same = (F.xxhash64(_spelled(key)) == F.col("_key_number")) & (_spelled(key) == F.col("_key"))
+    joined = rows.join(newest, same, "left")
     duplicate = F.col("_kept").isNotNull() & (F.col("_kept") != F.col("_place"))
     return joined.select(*stored.columns, duplicate.alias(flag))

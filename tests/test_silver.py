@@ -1,6 +1,7 @@
 """Cleaning, rules, rejects and quality counters."""
 
 import json
+import re
 from decimal import Decimal
 
 import pytest
@@ -10,6 +11,8 @@ from clearwell.operators import duplicates, rejects, silver
 from clearwell.plans import quality
 from clearwell.plans.entities import CUSTOMERS, ENTITIES, ORDER_ITEMS, ORDERS
 
+from catalog.bronze import spark_table
+
 ITEMS = [
     ("ord-1", "p1", "2", "10.50", "0.15", None),
     ("x", "p1", "2", "10", "0", "ORDER_ID_INVALID"),
@@ -190,3 +193,12 @@ def test_one_row_a_key(spark, tmp_path):
     assert tagged.where("k IS NULL").where("dup").isEmpty() and tagged.count() == len(rows)
     empty = spark.read.parquet(str(tmp_path / "t")).where("k = 'none'")
     assert duplicates.tag_duplicates(empty, ["k", "v"], [], "dup").count() == 0
+
+
+@pytest.mark.parametrize("entity", ["orders", "products", "order_items", "reviews", "delivery_events"])
+def test_cleaning_is_code_that_the_jvm_compiles(spark, entity):
+    """The JVM interprets methods of more than 8,000 bytes for good."""
+    tagged = silver.tag(spark_table(spark, "/root/testdata/sf0.001", entity), ENTITIES[entity])
+    code = spark._jvm.PythonSQLUtils.explainString(silver.valid(tagged)._jdf.queryExecution(), "codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) <= 8000
