@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from clearwell.functions import vocab as V
@@ -91,88 +91,107 @@ def labels_per_product(products: DataFrame) -> DataFrame:
     )
 
 
+# field of a label set -> (label of a line, its value where the product is not known)
 _LABEL_SETS = {
-    "names": V.NO_PRODUCT_NAME,
-    "categories": V.UNKNOWN_F,
-    "brands": V.UNKNOWN_F,
+    "names": ("name", V.NO_PRODUCT_NAME),
+    "categories": ("category", V.UNKNOWN_F),
+    "brands": ("brand", V.UNKNOWN_F),
 }
+_LABELS = [label for label, _ in _LABEL_SETS.values()]
+_SUMS = ("quantity", "gross_amount", "discount_amount", "net_amount")
+_NUMBER = "_number"
+_PRODUCT, *_LABEL_KINDS = range(1 + len(_LABEL_SETS))
 
 
-def _labelled_lines(order_items: DataFrame, products: DataFrame) -> DataFrame:
-    """Each line beside the label sets of its product; a hot product is split by Spark."""
-    joined = joins.left_join_summary(
-        _lines(order_items), "product_id", labels_per_product(products), "_labels"
-    )
-    return joined.withColumns(
-        {
-            field: F.coalesce(F.col(f"_labels.{field}"), F.array(F.lit(fallback)))
-            for field, fallback in _LABEL_SETS.items()
-        }
-    )
+def _entry(kind: int, value: Column, labels: dict[str, Column]) -> Column:
+    listed = [labels.get(n, F.lit(None).cast("string")).alias(n) for n in _LABELS]
+    return F.struct(F.lit(kind).alias("kind"), value.alias("value"), *listed)
 
 
-_SUMS = ("quantity", "gross_amount", "discount_amount", "net_amount")
-_PRODUCT, *_LABEL_KINDS = range(1 + len(_LABEL_SETS))
+def _further(kind: int, label: str) -> Callable[[Column], Column]:
+    return lambda value: _entry(kind, value, {label: value})
 
 
-def _labelled_as(kind: int, entry: Callable[[int, Column], Column]) -> Callable[[Column], Column]:
-    return lambda value: entry(kind, value)
+def _entries_per_product(products: DataFrame) -> DataFrame:
+    """One row per product id with what an order gets from it, an array of `_entry`.
 
+    The first is the product itself with its first name, category and brand.  Only a product
+    with several labels of a kind has more, one for each further label.  The sets are
+    sorted, so that every task sees the same first label.
+    """
+    sets = labels_per_product(products).withColumns({field: F.sort_array(field) for field in _LABEL_SETS})
+    first = {label: F.get(field, F.lit(0)) for field, (label, _) in _LABEL_SETS.items()}
+    entries = [F.array(_entry(_PRODUCT, F.col("product_id"), first))]
+    for kind, (field, (label, _)) in zip(_LABEL_KINDS, _LABEL_SETS.items(), strict=True):
+        entries.append(F.transform(F.slice(field, F.lit(2), F.size(field)), _further(kind, label)))
+    return sets.select("product_id", F.concat(*entries).alias("entries"))
 
-def _distinct_values(lines: DataFrame, sums: bool) -> DataFrame:
-    """``order_id, kind, value`` once each: its labels and, with ``sums``, its products.
 
-    A product's row carries the sums of the order's lines of that product.
+def _labelled_lines(order_items: DataFrame, products: DataFrame) -> DataFrame:
+    """Each line beside the entries of its product; a hot product is split by Spark.
+
+    Amounts are worked out behind the join, which is narrower without them.
     """
-    fields = {f.name: f.dataType.simpleString() for f in lines.schema.fields}
+    lines = order_items.select("order_id", "product_id", "quantity", "unit_price", "discount")
+    joined = joins.left_join_summary(lines, "product_id", _entries_per_product(products), "_known")
+    unknown = {label: F.lit(value) for label, value in _LABEL_SETS.values()}
+    alone = F.array(_entry(_PRODUCT, F.col("product_id"), unknown))
+    return joined.withColumns(line_amounts() | {"entries": F.coalesce(F.col("_known.entries"), alone)})
+
 
-    def entry(kind: int, value: Column, amounts: bool = False) -> Column:
-        columns = [F.col(c) if amounts else F.lit(None).cast(fields[c]).alias(c) for c in _SUMS if sums]
-        return F.struct(F.lit(kind).alias("kind"), value.alias("value"), *columns)
+def _distinct_values(lines: DataFrame, sums: bool) -> DataFrame:
+    """``order_id, kind, value`` once each: its products, and what other labels these have.
 
-    entries = [F.array(entry(_PRODUCT, F.col("product_id"), True))] if sums else []
-    for kind, name in zip(_LABEL_KINDS, _LABEL_SETS, strict=True):
-        entries.append(F.transform(name, _labelled_as(kind, entry)))
-    rows = lines.select("order_id", F.inline(F.concat(*entries)))
+    With ``sums`` a product's row carries those of the order's lines of that product.
+    """
+    amounts = [c for c in _SUMS if sums]
+    rows = lines.select("order_id", *amounts, F.inline("entries"))
     if not sums:
         return rows.distinct()
-    return rows.groupBy("order_id", "kind", "value").agg(*[F.sum(c).alias(c) for c in _SUMS])
+    own = F.col("kind") == _PRODUCT
+    # the labels belong to (kind, value), so they split no group
+    return rows.groupBy("order_id", "kind", "value", *_LABELS).agg(*[F.sum(F.when(own, F.col(c))).alias(c) for c in _SUMS])
+
+
+def _per_order(values: DataFrame) -> GroupedData:
+    """Distinct rows meet by order and are listed there, without lists of map tasks before.
+
+    Lists are made by sorting.  Ids start alike; a number before them decides most comparisons.
+    """
+    return values.repartition("order_id").groupBy(F.xxhash64("order_id").alias(_NUMBER), "order_id")
 
 
 def _list_columns() -> list[Column]:
-    return [
-        F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.col("value")))).alias(f"_{name}")
-        for kind, name in zip(_LABEL_KINDS, _LABEL_SETS, strict=True)
-    ]
+    return [F.collect_list(label).alias(f"_{field}") for field, (label, _) in _LABEL_SETS.items()]
 
 
 def _with_products_columns(grouped: DataFrame) -> DataFrame:
+    # several products may share a label
+    lists = {f"_{field}": F.sort_array(F.array_distinct(f"_{field}")) for field in _LABEL_SETS}
     columns = {
         "product_names": F.concat_ws(", ", "_names"),
         "categories": F.concat_ws(", ", "_categories"),
         "brands": F.concat_ws(", ", "_brands"),
         "number_of_categories": F.size("_categories").cast("bigint"),
     }
-    return grouped.withColumns(columns).drop("_names", "_categories", "_brands")
+    return grouped.withColumns(lists).withColumns(columns).drop(*lists)
 
 
 def order_products_summary(order_items: DataFrame, products: DataFrame) -> DataFrame:
     """Sorted, comma-joined product names, categories and brands of each order."""
     values = _distinct_values(_labelled_lines(order_items, products), sums=False)
-    # distinct rows meet by order and are listed there, without lists of map tasks before
-    return _with_products_columns(values.repartition("order_id").groupBy("order_id").agg(*_list_columns()))
+    return _with_products_columns(_per_order(values).agg(*_list_columns()).drop(_NUMBER))
 
 
 def order_lines_summary(order_items: DataFrame, products: DataFrame) -> DataFrame:
     """Amounts and product lists together, from one pass over the lines.
 
-    The lines meet the products first; the distinct values of an order, its products
-    with their sums among them, are one aggregation, and one by order follows.
+    The lines meet the products first; the distinct products of an order, with their
+    sums and labels, are one aggregation, and one by order follows.
     """
     values = _distinct_values(_labelled_lines(order_items, products), sums=True)
     return _with_products_columns(
-        values.repartition("order_id")
-        .groupBy("order_id")
+        _per_order(values)
         .agg(
             F.count(F.when(F.col("kind") == _PRODUCT, F.col("value"))).alias("number_of_products"),
             F.sum("quantity").alias("total_quantity"),
@@ -181,6 +200,7 @@ def order_lines_summary(order_items: DataFrame, products: DataFrame) -> DataFram
             total("net_amount").alias("net_amount"),
             *_list_columns(),
         )
+        .drop(_NUMBER)
     )
 
 

@@ -307,3 +307,33 @@ def test_an_order_of_many_products_is_counted_without_a_set(spark):
         assert "collect_set(product_id" not in df._jdf.queryExecution().optimizedPlan().toString()
     plan = summary._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"hashpartitioning\([^)]*kind#\d+, value#", plan)
+
+
+def test_a_line_is_one_row_of_an_order(spark):
+    """Labels travel with their product; only further labels of one product add rows."""
+    items = spark.createDataFrame(
+        [("O1", "P1", 1), ("O1", "P1", 2), ("O1", "P2", 1), ("O1", "P3", 1), ("O2", "P2", 5), ("O2", "P9", 1)],
+        "order_id string, product_id string, quantity int",
+    ).selectExpr("*", "CAST(2 AS decimal(10,2)) AS unit_price", "CAST(0 AS decimal(5,2)) AS discount")
+    products = spark.createDataFrame(
+        [("P1", "a", "x", "h"), ("P2", "b", "x", "h"), ("P3", "b", "y", "h"), ("P3", "c", "y", None), ("P3", "a", "y", "h")],
+        "product_id string, product_name string, category string, brand string",
+    )
+    values = S._distinct_values(S._labelled_lines(items, products), sums=True)
+    # three products and two more names and one more brand of P3; one known product and an unknown one
+    assert {r["order_id"]: r["count"] for r in values.groupBy("order_id").count().collect()} == {"O1": 6, "O2": 2}
+    found = {r["order_id"]: r for r in S.order_lines_summary(items, products).collect()}
+    one, two = found["O1"], found["O2"]
+    assert (one["number_of_products"], one["total_quantity"], one["gross_amount"]) == (3, 5, Decimal("10.00"))
+    assert (one["product_names"], one["categories"], one["number_of_categories"]) == ("a, b, c", "x, y", 2)
+    assert one["brands"] == "Inconnue, h"
+    assert (two["product_names"], two["categories"], two["brands"]) == ("Produit supprimé, b", "Inconnue, x", "Inconnue, h")
+    listed = {r["order_id"]: r.asDict() for r in S.order_products_summary(items, products).collect()}
+    assert listed == {o: {c: r[c] for c in listed[o]} for o, r in found.items()}
+
+
+def test_summary_joins_compare_numbers_first(spark, splitting):
+    left = spark.range(100).selectExpr("concat('ORD', id) AS k")
+    joined = joins.left_join_summary(left, "k", left.groupBy("k").count(), "s")
+    assert joined.where("s.count = 1").count() == 100
+    assert re.search(r"SortMergeJoin \[xxhash64", joined._jdf.queryExecution().executedPlan().toString())
